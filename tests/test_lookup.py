@@ -1,0 +1,148 @@
+import pytest
+from conftest import at, table, values
+from pyspark.sql import functions as F
+
+from samplyard.operators import lookup, summary
+
+NOW = "2024-02-20 12:00:00"
+DDL = "id string, config_id string, created_at timestamp_ntz, uploaded_at timestamp_ntz, submitted_at timestamp_ntz, upload_source string"
+ROWS = [
+    ("id1", "test", at(NOW), None, None, None),
+    ("id2", "test", at(NOW), at(NOW), None, "set_a"),
+    ("id3", "test", at("2024-02-19 12:00:00"), None, None, None),
+    ("id4", "test", at("2024-02-15 12:00:00"), at("2024-02-15 12:00:00"), at("2024-02-15 13:00:00"), "set_a"),
+    ("id5", "test", at("2024-01-21 12:00:00"), at("2024-01-21 12:00:00"), None, "set_b"),
+    ("id6", "test", at("2024-02-20 09:00:00"), None, None, None),
+    ("id7", "other", at(NOW), None, None, None),
+]
+
+
+@pytest.fixture
+def samples(frame):
+    return frame(DDL, ROWS)
+
+
+@pytest.mark.parametrize(
+    "arguments, wanted",
+    [
+        ({}, "id1 id6 id7"),
+        ({"timeframe": "today", "uploaded": "all"}, "id1 id2 id6 id7"),
+        ({"timeframe": "TODAY", "uploaded": "uploaded"}, "id2"),
+        ({"timeframe": "yesterday", "uploaded": "all"}, "id3"),
+        ({"timeframe": "week", "uploaded": "all", "submitted": None}, "id1 id2 id3 id4 id6 id7"),
+        ({"timeframe": "month", "uploaded": "all", "submitted": "all"}, "id1 id2 id3 id4 id5 id6 id7"),
+        ({"timeframe": "month", "uploaded": "all", "submitted": "submitted"}, "id4"),
+        ({"timeframe": "hourly", "hours_back": 4, "uploaded": "all"}, "id1 id2 id6 id7"),
+        ({"timeframe": "hourly", "uploaded": "all"}, "id1 id2 id7"),
+        ({"timeframe": "custom", "hours_back": 4, "days_back": 30, "uploaded": "all"}, "id1 id2 id6 id7"),
+        ({"timeframe": "custom", "days_back": 1, "uploaded": "all"}, "id1 id2 id3 id6 id7"),
+        ({"timeframe": "custom", "start": "2024-02-15 12:00:00", "end": "2024-02-19 12:00:00", "uploaded": "all", "submitted": "all"}, "id3 id4"),
+        ({"timeframe": "custom", "start": "2024-02-20 09:00:00", "uploaded": "all"}, "id1 id2 id6 id7"),
+        ({"timeframe": "custom", "uploaded": "all"}, "id1 id2 id6 id7"),
+        ({"timeframe": "someday"}, "id1 id6 id7"),
+        ({"timeframe": None, "uploaded": None}, "id1 id6 id7"),
+        ({"config_id": "other"}, "id7"),
+        ({"timeframe": "month", "uploaded": "all", "submitted": "all", "set_name": "set_b"}, "id5"),
+    ],
+)
+def test_timeframes(samples, arguments, wanted):
+    assert values(lookup.samples_in(samples, as_of=NOW, **arguments), "id") == wanted.split()
+
+
+def test_shorthands_and_order(samples):
+    assert values(lookup.created_today(samples, NOW), "id") == ["id1", "id6", "id7"]
+    assert values(lookup.recent_hours(samples, 1, as_of=NOW), "id") == ["id1", "id7"]
+    assert values(lookup.ready_for_submission(samples, "today", NOW), "id") == ["id2"]
+    newest = [r["created_at"] for r in lookup.samples_in(samples, "month", NOW, "all", "all").collect()]
+    assert newest == sorted(newest, reverse=True)
+
+
+def test_generic_query_binds_parameters(samples):
+    found = lookup.query_samples(
+        samples, ["config_id = @cfg", "uploaded_at IS NULL", F.col("id") != "id6"], {"cfg": "test", "spare": 1}, ["id"], "created_at DESC, id", 1
+    )
+    assert [r[0] for r in found.collect()] == ["id1"]
+    hostile = lookup.query_samples(samples, ["config_id = @cfg"], {"cfg": "x' OR '1'='1"}, order_by=None)
+    assert hostile.count() == 0
+
+
+def test_timeframe_bound_reaches_the_scan(spark, samples, tmp_path):
+    samples.write.parquet(str(tmp_path / "s"))
+    plan = lookup.samples_in(spark.read.parquet(str(tmp_path / "s")), "week", NOW, newest_first=False)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_at" in text
+
+
+def test_newest_waiting_per_config(frame):
+    rows = [(f"i{n}", "big" if n % 3 else "small", at("2024-01-01"), None) for n in range(40)]
+    rows += [("new", "big", at("2024-02-01"), None), ("up", "big", at("2024-03-01"), at("2024-03-01"))]
+    df = frame("id string, config_id string, created_at timestamp_ntz, uploaded_at timestamp_ntz", rows)
+    got = table(lookup.recent_not_uploaded(df, 2).select("config_id", "id"))
+    assert got == [("big", "i1"), ("big", "new"), ("small", "i0"), ("small", "i12")]
+
+
+def test_submissions_and_open_workflows(frame):
+    ddl = "id string, config_id string, created_at timestamp_ntz, submission_id string, workflow_id string, workflow_state string"
+    df = frame(ddl, [
+        ("a", "1", at("2024-02-01"), "s1", None, None),
+        ("b", "1", at("2024-02-01"), "s1", "", "Running"),
+        ("c", "1", at("2024-02-02"), "s2", "w1", "Running"),
+        ("d", "1", at("2024-02-03"), "s2", "w2", ""),
+        ("e", "1", at("2024-02-04"), "s2", "w3", None),
+        ("f", "1", at("2024-02-05"), "s2", "w4", "Succeeded"),
+        ("g", "1", at("2024-02-06"), "", "w5", "Aborted"),
+        ("h", "1", at("2020-02-06"), "s9", None, "Running"),
+    ])
+    assert table(lookup.unique_submissions(df, NOW)) == [("1", "s1")]
+    assert table(lookup.unique_submissions(df, NOW, need_workflow_id=False)) == [("1", "s1"), ("1", "s2")]
+    assert values(lookup.incomplete_workflows(df, NOW), "id") == ["c", "d", "e"]
+    assert values(lookup.incomplete_workflows(df, NOW, limit=2), "id") == ["d", "e"]
+
+
+def test_configs(frame):
+    df = frame("id string, active boolean, entity_type string, transferred boolean, created_at timestamp_ntz", [
+        ("1", True, "a", None, at("2024-01-01")), ("2", True, "b", True, at("2024-01-02")),
+        ("3", False, "a", False, at("2024-01-03")), ("4", None, "", False, at("2024-01-04")),
+    ])
+    assert [r["id"] for r in lookup.find_configs(df).collect()] == ["4", "3", "2", "1"]
+    assert values(lookup.find_configs(df, active_only=True), "id") == ["1", "2"]
+    assert values(lookup.find_configs(df, skip_transferred=True), "id") == ["1", "3", "4"]
+    assert values(lookup.find_configs(df, entity_type="a"), "id") == ["1", "3"]
+    assert lookup.config_by_id(df, "2").count() == 1 and lookup.config_by_id(df, "9").count() == 0
+    assert values(lookup.existing_types(df)) == ["a", "b"]
+
+
+def test_identifiers_and_names(samples, frame):
+    assert values(lookup.existing_identifiers(samples, "upload_source")) == ["set_a", "set_b"]
+    assert values(lookup.existing_identifiers(samples, "id", "other")) == ["id7"]
+    names = frame("config_id string, id string", [("test", "id1"), ("other", "id1"), ("test", "id9")])
+    assert values(lookup.by_entity_names(samples, names, "id"), "id") == ["id1"]
+
+
+def test_summaries_with_a_null_group(frame):
+    ddl = "sample_id string, config_id string, entity_type string, uploaded_at timestamp_ntz, submitted_at timestamp_ntz, workflow_state string"
+    now = at(NOW)
+    df = frame(ddl, [
+        ("a", "1", "x", now, now, "Failed"), ("b", "1", "y", now, None, None),
+        ("c", "2", None, None, None, None), ("d", None, "x", None, None, "Failed"),
+    ])
+    configs = frame("id string, label string, entity_type string", [("1", "first", "x")])
+    assert table(summary.totals(df)) == [(4, 2, 1)]
+    assert table(summary.by_entity_type(df)) == [("x", 2), ("y", 1)]
+    assert table(summary.by_config(df, configs, "label")) == [
+        ("1", 2, 2, 1, 2, "first", "x"), ("2", 1, 0, 0, 0, "Config 2", "Unknown")
+    ]
+    assert table(summary.state_summary(df)) == [("1", "Failed", 1), ("1", "None", 1), ("2", "None", 1), (None, "Failed", 1)]
+    assert summary.rollup_counts(df).filter("level = 3").first()["total_samples"] == 4
+
+
+@pytest.mark.parametrize("good, bad, wanted", [(5, 0, "success"), (0, 0, "no_updates"), (3, 1, "partial_success"), (0, 1, "error")])
+def test_status(spark, good, bad, wanted):
+    assert spark.range(1).select(summary.derived_status(F.lit(good), F.lit(bad))).first()[0] == wanted
+
+
+def test_uri_without_key_fails(frame):
+    good = frame("a string, b string", [("gs://x/y/z", "gs://x/y/z"), (None, "no"), ("gs://x/y/z", "")])
+    assert table(summary.uri_inventory(good, ["a", "b"])) == [("a", "x", "y/z"), ("b", "x", "y/z")]
+    with pytest.raises(Exception, match="without a key"):
+        summary.uri_inventory(frame("a string", [("gs://bucket",)]), ["a"]).collect()
