@@ -86,7 +86,11 @@ def copy_files(manifest: DataFrame, mounts: dict[str, str] | None = None, tasks:
                     folder, _, name = to_path.rpartition("/")
                     to_fs.create_dir(folder, recursive=True)
                     temporary = f"{folder}/.tmp.{name}.{run}"
-                    with from_fs.open_input_stream(from_path) as reader, to_fs.open_output_stream(temporary) as writer:
+                    with (
+                        # No compression by file extension: bytes are copied as they are.
+                        from_fs.open_input_stream(from_path, compression=None) as reader,
+                        to_fs.open_output_stream(temporary, compression=None) as writer,
+                    ):
                         while chunk := reader.read(CHUNK):
                             writer.write(chunk)
                     to_fs.move(temporary, to_path)

@@ -17,9 +17,9 @@ DOCUMENT = T.MapType(T.StringType(), T.StringType())
 
 def read_config_directory(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """(file, document) rows; a bad file has a null document."""
-    files = spark.read.option("pathGlobFilter", pattern).option("wholetext", "true").text(path)
+    files = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
     parsed = F.from_json(F.col("value"), DOCUMENT)
-    valid = F.col("value").rlike(r"(?s)\A\s*\{.*\}\s*\z") & F.get_json_object("value", "$").isNotNull()
+    valid = F.try_parse_json("value").isNotNull() & F.json_object_keys("value").isNotNull()
     return files.select(F.input_file_name().alias("file"), F.when(valid, parsed).alias("document"))
 
 
