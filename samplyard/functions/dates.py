@@ -39,25 +39,26 @@ DIRECTIVES = {
 }
 
 # A zone suffix counts only after a time of day.
-ZONED = r"^(.*\d:\d{2}(?::\d{2}(?:\.\d+)?)?|\d{8}T\d{4,6})\s*(Z|[+-]\d{2}(?::?\d{2})?)$"
-
-# Rewrites towards ISO order, applied one after the other; text of another shape passes through.
-# A date starting with 01..12 is read month first, any other day first. A packed date without a
-# time of day leaves bare separators behind, which the last look ignores.
-TO_ISO = (
-    (r"^(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2})?)?$", "$1-$2-$3 $4:$5:$6"),
-    (
-        r"^(?:(0?[1-9]|1[0-2])[/.-](\d{1,2})|(\d{1,2})[/.-](\d{1,2}))[/.-](\d{4})(?!\d)",
-        "$5-$1$4-$2$3",
-    ),
-    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(?!\d)", "$1-$2-$3"),
-    (r"^(\d{1,2})/(\d{1,2})/([0-6]\d)$", "20$3-$1-$2"),
-    (r"^(\d{1,2})/(\d{1,2})/([7-9]\d)$", "19$3-$1-$2"),
-    (r"^(\d{4}-\d{1,2}-\d{1,2})[T ](\d{1,2})$", "$1 $2:00"),
+ZONED = r"(?:\d:\d{2}(?::\d{2}(?:\.\d+)?)?|\d{8}T\d{4,6})\s*(Z|[+-]\d{2}(?::?\d{2})?)\s*$"
+
+# One pattern for all numeric layouts, and the parts in ISO order: year-month-day
+# hour:minute:second. A date starting with 01..12 is read month first, any other day first. The
+# last branch takes any other text and leaves the parts empty.
+NUMERIC = (
+    r"(?s)^\s*(?:"
+    r"(\d{4})([/.-])(\d{1,2})\2(\d{1,2})"
+    r"|(0?[1-9]|1[0-2])([/.-])(\d{1,2})\6(\d{4})"
+    r"|(\d{1,2})([/.-])(\d{1,2})\10(\d{4})"
+    r"|(\d{4})(\d{2})(\d{2})"
+    r")(?:(?:[T ]|(?<=\b\d{8})(?=\d{4}))(\d{1,2})(?::?(\d{2})(?::?(\d{2})(\.\d+)?)?)?"
+    r"\s*(?:Z|[+-]\d{2}(?::?\d{2})?)?)?\s*$|^.*$"
 )
-ISO = r"^\d{4}(?:-\d{1,2}(?:-\d{1,2}(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?)?)?(?=[ :]*$)"
+PARTS = "$1$8$12$13-$3$5$11$14-$4$7$9$15 $16:$17:$18$19"
 
-# The same for dates with a month name, towards year, month, day.
+SHORT_YEAR = ((r"^(\d{1,2})/(\d{1,2})/([0-6]\d)$", "20$3-$1-$2"), (r"^(\d{1,2})/(\d{1,2})/([7-9]\d)$", "19$3-$1-$2"))
+REDUCED = r"^(?:\d{4}(?:-\d{2})?|(?:19|20)\d{2}-\d{1,2}-\d{1,2})$"
+
+# Dates with a month name, towards year, month, day.
 WORDED = (
     (r"(?i)^([a-z]{3})[a-z]*\.?\s+(\d{1,2}),?\s+(\d{4})", "$3 $1 $2"),
     (r"(?i)^(\d{1,2})[ -]([a-z]{3})[a-z]*\.?,?[ -](\d{4})", "$3 $2 $1"),
@@ -101,49 +102,49 @@ def _rewrite(text: Column, rules) -> Column:
 
 
 def _iso_week(value: Column) -> Column:
-    digits = F.regexp_replace(value, "[^0-9]", "")
-    first_monday = F.date_trunc("week", F.make_date(F.substring(digits, 1, 4).try_cast("int"), F.lit(1), F.lit(4)))
-    week, day = F.substring(digits, 5, 2).try_cast("int"), F.substring(digits, 7, 1).try_cast("int")
+    first_monday = F.date_trunc("week", F.make_date(F.substring(value, 1, 4).try_cast("int"), F.lit(1), F.lit(4)))
+    week = F.regexp_extract(value, r"W(\d{2})", 1).try_cast("int")
+    day = F.regexp_extract(value, r"W\d{2}-?(\d)", 1).try_cast("int")
     days = week * 7 + F.coalesce(day, F.lit(1)) - 8
-    shape = r"^\s*\d{4}-?W\d{2}(?:-?[1-7])?\s*$"
+    shape = r"^\d{4}-?W\d{2}(?:-?[1-7])?$"
     return F.when(value.rlike(shape), F.date_add(first_monday.cast("date"), days).cast("timestamp_ntz"))
 
 
-def without_zone(value: Column) -> Column:
-    return F.regexp_replace(F.trim(value), ZONED, "$1")
-
-
 def zone_of(value: Column) -> Column:
     """Offset of a date text as ``+HH:MM``, '' when it names none."""
     rules = ((r"^Z$", "+00:00"), (r"^([+-]\d{2})$", "$1:00"), (r"^([+-]\d{2})(\d{2})$", "$1:$2"))
-    return _rewrite(F.regexp_extract(F.trim(value), ZONED, 2), rules)
+    return _rewrite(F.regexp_extract(value, ZONED, 1), rules)
 
 
 def parse_wall(value: Column, layout: str | None = None) -> Column:
     """Wall-clock ``timestamp_ntz`` of a date text, null when no layout fits.
 
-    Order: the field's own strftime layout, ISO text, month-first, day-first, month names.
+    Order: the field's own strftime layout, numeric layouts (ISO, month first, day first), then
+    two-digit years, month names, bare years and ISO weeks. Nearly all text ends at the numeric
+    pattern, which costs one regex and one cast. The generated code is kept small on purpose:
+    the JVM does not compile very long methods.
     """
     tries = []
     if layout and "%" in layout:
         pattern = spark_pattern(layout, parsing=True)
         tries.append(F.try_to_timestamp(F.trim(value), F.lit(pattern)).cast("timestamp_ntz"))
-    iso = F.regexp_extract(_rewrite(without_zone(value), TO_ISO), ISO, 0)
-    tries.append(iso.try_cast("timestamp_ntz"))
+    tries.append(F.rtrim(F.regexp_replace(value, NUMERIC, PARTS), F.lit(" :")).try_cast("timestamp_ntz"))
     worded = F.try_to_timestamp(_rewrite(F.trim(value), WORDED), F.lit("yyyy MMM d[ H:mm[:ss]]"))
     tries.append(F.when(value.rlike("[A-Za-z]{3}"), worded.cast("timestamp_ntz")))
-    tries.append(_iso_week(value))
+    tries.append(F.regexp_extract(_rewrite(F.trim(value), SHORT_YEAR), REDUCED, 0).try_cast("timestamp_ntz"))
+    tries.append(_iso_week(F.trim(value)))
     return F.coalesce(*tries)
 
 
 def parse_utc(value: Column, layout: str | None = None) -> Column:
     """Like :func:`parse_wall`, with text that names a zone moved to UTC."""
-    zone = zone_of(value)
-    hours = F.substring(zone, 1, 3).try_cast("int")
-    minutes = F.concat(F.substring(zone, 1, 1), F.substring(zone, 5, 2)).try_cast("int")
-    none = F.lit(0)
-    shift = F.make_dt_interval(none, F.coalesce(hours, none), F.coalesce(minutes, none))
-    return parse_wall(value, layout) - shift
+    zone = F.regexp_extract(value, ZONED, 1)
+    tail = F.when(F.length(zone) > 3, F.substring(zone, -2, 2).cast("int")).otherwise(0)
+    east = F.substring(zone, 2, 2).cast("int") * 60 + tail
+    signed = F.when(zone.startswith("-"), -east).otherwise(east)
+    # Only text with a real offset pays for reading it.
+    minutes = F.when(zone.isin("", "Z"), 0).otherwise(signed)
+    return parse_wall(value, layout) - F.make_dt_interval(F.lit(0), F.lit(0), minutes)
 
 
 def iso_text(wall: Column, zone: Column | None = None) -> Column:

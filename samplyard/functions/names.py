@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A lane token stands before the read token or at the end; the rest of the name is groups 1 and 3.
-LANE = r"(?i)^(.*?)[_-]L([0-9]{1,3})([_-]R[12].*|)$"
-READ = {1: r"(?i)[_-]R1.*\.fastq\.gz$", 2: r"(?i)[_-]R2.*\.fastq\.gz$"}
+# A lane token stands before the read token or at the end; group 1 is what follows it. Taking
+# the rest of the name along means that only the first token is replaced.
+LANE = r"(?i)[_-]L[0-9]{1,3}([_-]R[12].*|)$"
 
 
 def strip_lane(name: Column) -> Column:
-    return F.regexp_replace(name, LANE, "$1$3")
+    return F.regexp_replace(name, LANE, "$1")
 
 
 def is_read(name: Column, side: int) -> Column:
-    return name.rlike(READ[side])
+    """``_R1`` or ``-R1`` somewhere in a ``.fastq.gz`` name, in any case."""
+    text = F.lower(name)
+    return text.endswith(".fastq.gz") & (text.contains(f"_r{side}") | text.contains(f"-r{side}"))
 
 
 def read_side(name: Column) -> Column:

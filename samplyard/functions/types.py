@@ -22,10 +22,14 @@ def to_float(value: Column) -> Column:
 
 
 def to_integer(value: Column) -> Column:
-    """Whole numbers, also written as ``3.0`` or ``1e3``; a fraction gives null."""
+    """Whole numbers, also written as ``3.0`` or ``1e3``; a fraction gives null.
+
+    Shapes are tested before casting: a failing cast is slow.
+    """
     text = F.trim(value.cast("string"))
-    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.coalesce(text.try_cast("bigint"), F.when(number % 1 == 0, number.try_cast("bigint")))
+    number = text.try_cast("double")
+    whole = F.when(number % 1 == 0, number.try_cast("bigint"))
+    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")).when(text.rlike(NUMBER), whole)
 
 
 def to_boolean(value: Column) -> Column:

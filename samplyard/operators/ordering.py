@@ -9,54 +9,79 @@ from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols
 from samplyard.operators.joins import keyed_join
-from samplyard.session import checkpoint_root
+from samplyard.session import work_path
+
+
+HOT_ROWS = 1_000_000  # a group one task sorts without trouble
 
 
 def running_totals(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, slices: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    amount: str,
+    hot_rows: int = HOT_ROWS,
+    slices: int | None = None,
+    measure: tuple[DataFrame, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Adds ``position`` (from 1) and ``offset`` (sum of ``amount`` before the row) per key.
 
-    A window over the key alone would hand a hot key to one task. Here the rows are cut into
-    ranges of (key, order), each range is numbered on its own, and the totals of the ranges,
-    a handful of rows per key, supply where each range starts. The ranges come from a sample, so
-    they are pinned with a checkpoint before they are used twice. ``order`` must be a total order.
+    ``order`` must be a total order. The largest group is measured first, by a count that
+    combines on the map side: if one task can hold it, a window per key does the work, otherwise
+    the groups are cut into ranges. ``measure`` names a cheaper table and grouping to count
+    instead, whose groups are at least as large.
+    """
+    counted, by = measure or (df, keys)
+    largest = counted.groupBy(*cols(by)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (largest or 0) <= hot_rows:
+        return _numbered(df, keys, order, amount)
+    return _numbered_by_range(df, keys, order, amount, slices)
+
+
+def _amount(name: str) -> Column:
+    return F.coalesce(col(name).cast("bigint"), F.lit(0))
+
+
+def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str) -> DataFrame:
+    per_key = Window.partitionBy(*cols(keys)).orderBy(*cols(order))
+    before = F.sum(_amount(amount)).over(per_key.rowsBetween(Window.unboundedPreceding, -1))
+    return df.select(
+        "*",
+        F.row_number().over(per_key).cast("bigint").alias("position"),
+        F.coalesce(before, F.lit(0)).alias("offset"),
+    )
+
+
+def _numbered_by_range(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, slices: int | None
+) -> DataFrame:
+    """Rows are cut into ranges of (key, order), each range is numbered on its own, and the totals
+    of the ranges, a handful of rows per key, supply where each range starts. The ranges come
+    from a sample, so they are pinned as a table in the shared folder before they are used twice.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = (
+    staged = work_path(spark, "ranges")
+    (
         df.repartitionByRange(slices, *cols(keys), *cols(order))
         .withColumn("__slice", F.spark_partition_id())
-        .checkpoint()
-    )
-    amount_of = F.coalesce(col(amount).cast("bigint"), F.lit(0))
-    before: Column = F.sum(amount_of).over(
-        Window.partitionBy(*cols(keys), F.col("__slice"))
-        .orderBy(*cols(order))
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .write.parquet(staged)
     )
-    numbered = ranges.withColumn(
-        "__n",
-        F.row_number().over(
-            Window.partitionBy(*cols(keys), F.col("__slice")).orderBy(*cols(order))
-        ),
-    ).withColumn("__before", F.coalesce(before, F.lit(0)))
-    earlier = (
-        Window.partitionBy(*cols(keys)).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = spark.read.parquet(staged)
+    numbered = _numbered(ranges, [*keys, "__slice"], order, amount)
+    earlier = Window.partitionBy(*cols(keys)).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranges.groupBy(*cols(keys), "__slice").agg(
+        F.count(F.lit(1)).alias("__count"), F.sum(_amount(amount)).alias("__sum")
     )
-    starts = (
-        ranges.groupBy(*cols(keys), "__slice")
-        .agg(F.count(F.lit(1)).alias("__count"), F.sum(amount_of).alias("__sum"))
-        .select(
-            *cols(keys),
-            "__slice",
-            F.coalesce(F.sum("__count").over(earlier), F.lit(0)).alias("__rows_before"),
-            F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__sum_before"),
-        )
+    starts = totals.select(
+        *cols(keys),
+        "__slice",
+        F.coalesce(F.sum("__count").over(earlier), F.lit(0)).alias("__rows_before"),
+        F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__sum_before"),
     )
-    return keyed_join(numbered, starts, [*keys, "__slice"], "inner").select(
+    joined = keyed_join(numbered, starts, [*keys, "__slice"], "inner")
+    return joined.select(
         *cols(df.columns),
-        (F.col("__rows_before") + F.col("__n")).cast("bigint").alias("position"),
-        (F.col("__sum_before") + F.col("__before")).cast("bigint").alias("offset"),
+        (col("__rows_before") + col("position")).alias("position"),
+        (col("__sum_before") + col("offset")).alias("offset"),
     )

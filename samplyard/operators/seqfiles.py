@@ -101,8 +101,9 @@ def match_datasets(
     use_latest: bool = False,
     sample: str = "sample",
     scope: Sequence[str] = (),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Datasets of every requested sample: (scope.., sample, status, dataset_id, name).
+    """Datasets of every requested sample: (scope.., sample, status, dataset_id, name, carry..).
 
     An exact name beats lane siblings; siblings count only when lanes may be grouped. Status is
     ``exact``, ``lanes``, ``partial`` (only siblings, not grouped), ``missing``, ``duplicate``
@@ -120,8 +121,9 @@ def match_datasets(
             F.when(stripped != col("name"), F.struct(stripped.alias(sample), F.lit(1).alias("sibling"))),
         )
     )
-    offered = datasets.select(*cols(scope), "dataset_id", "name", "date_created", F.inline(offers))
-    named = latest_per_name(with_keys(offered, wanted, keys), [*keys, "sibling", "name"])
+    payload = ["dataset_id", *carry]
+    offered = datasets.select(*cols(scope), *cols(payload), "name", "date_created", F.inline(offers))
+    named = latest_per_name(with_keys(offered, wanted, keys), [*keys, "sibling", "name"], payload)
 
     def any_of(sibling: int, flag: Column) -> Column:
         return F.bool_or(F.when(col("sibling") == sibling, flag))
@@ -144,12 +146,10 @@ def match_datasets(
     judged = keyed_join(wanted, overview, keys).select(*cols(keys), status.alias("status"), "best")
     is_served = col("status").isin("exact", "lanes")
     served = judged.filter(is_served).select(*cols(keys), col("best").alias("sibling"), "status")
-    rows = keyed_join(named, served, [*keys, "sibling"], "inner").select(*cols(keys), "status", "dataset_id", "name")
-    nothing = F.lit(None).cast("string")
-    unserved = judged.filter(~is_served).select(
-        *cols(keys), "status", nothing.alias("dataset_id"), nothing.alias("name")
+    rows = keyed_join(named, served, [*keys, "sibling"], "inner").select(
+        *cols(keys), "status", "dataset_id", "name", *cols(carry)
     )
-    return rows.unionByName(unserved)
+    return rows.unionByName(judged.filter(~is_served).select(*cols(keys), "status"), allowMissingColumns=True)
 
 
 def read_counts() -> list[Column]:
@@ -227,7 +227,10 @@ def files_by_read(files: DataFrame) -> DataFrame:
 
 def read_file_lists(files: DataFrame, group: Sequence[str], tie_break: Sequence[str] = ("file_id",)) -> DataFrame:
     """Files of each (group, read) in file-name order, with position and byte offset."""
-    return running_totals(files_by_read(files), [*group, "read"], ["file_name", *tie_break], "size")
+    # Counting files per group alone reads one column, and a read side never has more of them.
+    return running_totals(
+        files_by_read(files), [*group, "read"], ["file_name", *tie_break], "size", measure=(files, group)
+    )
 
 
 def concat_plan(files: DataFrame, sample: str = "sample", tie_break: Sequence[str] = ("file_id",)) -> DataFrame:

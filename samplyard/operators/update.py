@@ -7,6 +7,8 @@ that is not in the map is left alone, a field mapped to null is cleared: absent
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -44,38 +46,63 @@ def change_records(df: DataFrame, values: Mapping[str, Column], key: str = "id",
     )
 
 
-def _checked(schema: SchemaSpec, changes: Column) -> Column:
-    """Fails the job when a record names a field the schema lacks."""
-    unknown = F.array_except(F.map_keys(changes), F.array(*[F.lit(n) for n in schema.names]))
-    message = F.concat(F.lit("fields not in schema: "), F.concat_ws(", ", unknown))
-    return F.when(F.size(unknown) > 0, F.raise_error(message).cast("map<string,string>")).otherwise(changes)
+def _carried(name: str, allow_nulls: bool) -> Column:
+    if allow_nulls:
+        return F.coalesce(F.map_contains_key(col(CHANGES), F.lit(name)), F.lit(False))
+    return F.element_at(col(CHANGES), F.lit(name)).isNotNull()
 
 
-def usable_records(updates: DataFrame, schema: SchemaSpec, key: str = "id", allow_nulls: bool = False) -> DataFrame:
-    """Records with an id and at least one field left to write."""
+def _any_carried(fields: Sequence[str], allow_nulls: bool) -> Column:
+    return reduce(or_, [_carried(n, allow_nulls) for n in fields], F.lit(False))
+
+
+def _unknown(schema: SchemaSpec, allow_nulls: bool) -> Column:
+    """Names in the record that the schema lacks; a dropped null does not count."""
     kept = col(CHANGES) if allow_nulls else present_only(col(CHANGES))
-    return (
-        updates.filter(col(key).isNotNull())
-        .withColumn(CHANGES, F.map_filter(_checked(schema, kept), lambda k, _: k != key))
-        .filter(F.size(col(CHANGES)) > 0)
-    )
+    return F.array_except(F.map_keys(kept), F.array(*[F.lit(n) for n in schema.names]))
+
+
+def _place(batch_size: int) -> Column:
+    """Smaller is stronger: the last batch first, inside a batch the first record."""
+    place, size = col(POSITION), F.lit(batch_size).cast("bigint")
+    return F.pmod(place, size) - F.floor(place / size) * size
+
 
+def _is_odd(schema: SchemaSpec, allow_nulls: bool) -> Column:
+    """Whether a record names an unknown field; only one that does pays for the look at its values."""
+    names = F.array(*[F.lit(n) for n in schema.names])
+    odd = F.size(F.array_except(F.map_keys(col(CHANGES)), names)) > 0
+    return F.coalesce(F.when(odd, F.size(_unknown(schema, allow_nulls)) > 0), F.lit(False))
 
-def settle_records(updates: DataFrame, fields: Sequence[str], key: str = "id", batch_size: int = 1000) -> DataFrame:
+
+def check_records(updates: DataFrame, schema: SchemaSpec, allow_nulls: bool = False) -> DataFrame:
+    """The records; the job fails on one that names a field the schema lacks."""
+    message = F.concat(F.lit("fields not in schema: "), F.concat_ws(", ", _unknown(schema, allow_nulls)))
+    failed = F.when(_is_odd(schema, allow_nulls), F.raise_error(message).cast("boolean"))
+    return updates.filter(failed.isNull())
+
+
+def settle_records(
+    updates: DataFrame, fields: Sequence[str], key: str = "id", batch_size: int = 1000, allow_nulls: bool = False
+) -> DataFrame:
     """One row per id with a ``struct(value)`` per field, null where nothing is to be written.
 
     When records repeat an id, each field takes the first record that carries it inside a batch,
     and the last batch that carries it. Both rules are one ordering, so this is a plain
-    aggregate that combines on the map side.
+    aggregate that combines on the map side. Records without an id or without any field left
+    drop out. The map is taken apart first: only flat values are sorted and shuffled.
     """
-    place = col(POSITION)
-    order = F.struct((-F.floor(place / F.lit(batch_size))).cast("bigint"), place)
-    picks = []
-    for name in fields:
-        carried = F.map_contains_key(col(CHANGES), F.lit(name))
-        value = F.struct(F.element_at(col(CHANGES), F.lit(name)).alias("value"))
-        picks.append(F.min_by(value, F.when(carried, order)).alias(f"new_{name}"))
-    return updates.groupBy(col(key)).agg(*picks)
+    usable = updates.filter(col(key).isNotNull() & _any_carried(fields, allow_nulls))
+    flat = usable.select(
+        col(key),
+        *[F.element_at(col(CHANGES), F.lit(n)).alias(f"value_{n}") for n in fields],
+        *[F.when(_carried(n, allow_nulls), _place(batch_size)).alias(f"place_{n}") for n in fields],
+    )
+    picks = [
+        F.min_by(F.struct(col(f"value_{n}").alias("value")), col(f"place_{n}")).alias(f"new_{n}")
+        for n in fields
+    ]
+    return flat.groupBy(col(key)).agg(*picks)
 
 
 def apply_records(
@@ -95,7 +122,8 @@ def apply_records(
     """
     fields = [n for n in (fields or schema.names) if n != key and n in target.columns]
     schema.check_fields(fields)
-    settled = settle_records(usable_records(updates, schema, key, allow_nulls), fields, key, batch_size)
+    checked = check_records(updates, schema, allow_nulls)
+    settled = settle_records(checked, fields, key, batch_size, allow_nulls)
     joined = keyed_join(target, settled.withColumn("__hit", F.lit(True)), key)
     return joined.select(*_written(target, schema, fields, stamp, as_of))
 
@@ -215,16 +243,19 @@ def delete_ids(target: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     return without_keys(target, ids, [key])
 
 
-def accounting(target: DataFrame, updates: DataFrame, schema: SchemaSpec, key: str = "id", allow_nulls: bool = False, batch_size: int = 1000) -> DataFrame:
+def accounting(
+    target: DataFrame,
+    updates: DataFrame,
+    schema: SchemaSpec,
+    key: str = "id",
+    allow_nulls: bool = False,
+    batch_size: int = 1000,
+) -> DataFrame:
     """Records applied, unmatched and rejected per update batch."""
-    kept = col(CHANGES) if allow_nulls else present_only(col(CHANGES))
-    kept = F.map_filter(kept, lambda k, _: k != key)
-    known = F.array(*[F.lit(n) for n in schema.names])
-    bad = col(key).isNull() | (F.size(kept) == 0) | (F.size(F.array_except(F.map_keys(kept), known)) > 0)
+    fields = [n for n in schema.names if n != key]
+    bad = col(key).isNull() | ~_any_carried(fields, allow_nulls) | _is_odd(schema, allow_nulls)
     marked = updates.select(
-        col(key),
-        F.floor(col(POSITION) / F.lit(batch_size)).cast("bigint").alias("batch"),
-        bad.alias("rejected"),
+        col(key), F.floor(col(POSITION) / F.lit(batch_size)).cast("bigint").alias("batch"), bad.alias("rejected")
     )
     hits = keyed_join(marked, distinct_keys(target, [key]).withColumn("__hit", F.lit(True)), key)
     return hits.groupBy("batch").agg(

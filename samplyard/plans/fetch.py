@@ -11,6 +11,8 @@ from samplyard.functions.columns import col
 from samplyard.operators import seqfiles
 from samplyard.operators.joins import keyed_join
 
+COUNTS = ("files", "r1_files", "r2_files", "r1_bytes", "r2_bytes")
+
 
 def resolve_requests(requests: DataFrame, items: DataFrame, priority: str | None = None) -> DataFrame:
     """Requests (collection, sample) with the resolved collection, or why there is none.
@@ -55,27 +57,23 @@ def fetch_plan(
         group_by_lane,
         use_latest,
         scope=["item_id"],
-    )
-    served = matched.filter(col("dataset_id").isNotNull())
-    paired = datasets.select("item_id", "dataset_id", "is_paired_end")
-    served = keyed_join(served, paired, ["item_id", "dataset_id"])
-    wanted = served.select("item_id", "dataset_id", "sample", "is_paired_end")
-    # A dataset can serve two requests (its own name and its bare name), so requests are the many side.
-    listed = files.select("item_id", "dataset_id", "file_id", "file_name", "size").join(
-        wanted, ["item_id", "dataset_id"], "inner"
+        carry=["is_paired_end"],
     )
     group = ["item_id", "sample"]
-    flags = served.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("datasets"),
+    per_dataset = files.groupBy("item_id", "dataset_id").agg(*seqfiles.read_counts())
+    counted = keyed_join(matched, per_dataset, ["item_id", "dataset_id"])
+    overview = counted.groupBy(*group).agg(
+        F.max("status").alias("status"),
+        F.count("dataset_id").alias("datasets"),
         F.bool_and(F.coalesce(col("is_paired_end"), F.lit(False))).alias("__paired"),
+        *[F.sum(n).alias(n) for n in COUNTS],
+    )
+    # A dataset can serve two requests (its own name and its bare name), so requests are the many side.
+    served = matched.filter(col("dataset_id").isNotNull()).select("item_id", "dataset_id", "sample")
+    listed = files.select("item_id", "dataset_id", "file_id", "file_name", "size").join(
+        served, ["item_id", "dataset_id"], "inner"
     )
-    counts = listed.groupBy(*group).agg(*seqfiles.read_counts())
-    lanes = seqfiles.lane_naming_check(seqfiles.files_by_read(listed), [*group, "read"]).select(
-        *group
-    ).distinct().withColumn("__lanes_differ", F.lit(True))
-    match_status = matched.select(*group, "status").distinct()
-    overview = keyed_join(keyed_join(keyed_join(match_status, flags, group), counts, group), lanes, group)
-    number = {n: F.coalesce(col(n), F.lit(0)) for n in ("datasets", "files", "r1_files", "r2_files", "r1_bytes", "r2_bytes")}
+    number = {n: F.coalesce(col(n), F.lit(0)) for n in ("datasets", *COUNTS)}
     balanced = seqfiles.is_balanced(number["r1_files"], number["r2_files"], number["files"])
     status = F.when(col("problem").isNotNull(), col("problem")).when(
         ~col("status").isin("exact", "lanes"), col("status")
@@ -83,12 +81,15 @@ def fetch_plan(
     if validate_paired:
         status = status.when(~col("__paired"), "not_paired").when(~balanced, "unbalanced")
     if validate_lanes:
+        by_read = seqfiles.files_by_read(listed)
+        lanes = seqfiles.lane_naming_check(by_read, [*group, "read"]).select(*group).distinct()
+        overview = keyed_join(overview, lanes.withColumn("__lanes_differ", F.lit(True)), group)
         status = status.when(col("__lanes_differ"), "lane_names_differ")
     results = keyed_join(resolved, overview, group).select(
         "collection", "sample", "item_id", status.otherwise("ok").alias("status"), *[v.alias(n) for n, v in number.items()]
     )
     fetched = keyed_join(
-        listed.drop("is_paired_end"),
+        listed,
         results.filter(col("status") == "ok").select(*group),
         group,
         "left_semi",

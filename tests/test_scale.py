@@ -76,7 +76,7 @@ def test_running_totals_with_a_hot_group(spark):
         F.xxhash64("id").cast("string").alias("name"),
         F.when(F.col("id") % 11 > 0, F.col("id") % 100).alias("size"),
     )
-    got = {(r["g"], r["name"]): (r["position"], r["offset"]) for r in ordering.running_totals(rows, ["g"], ["name"], "size", 16).collect()}
+    got = {(r["g"], r["name"]): (r["position"], r["offset"]) for r in ordering.running_totals(rows, ["g"], ["name"], "size", 100, 16).collect()}
     place, total, wanted = Counter(), Counter(), {}
     for r in sorted(rows.collect(), key=lambda r: (r["g"], r["name"])):
         place[r["g"]] += 1
@@ -87,7 +87,7 @@ def test_running_totals_with_a_hot_group(spark):
 
 def test_running_totals_split_the_hot_group(spark):
     rows = spark.range(50_000).select(F.lit("one").alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("name"), F.lit(1).alias("size"))
-    plan = ordering.running_totals(rows, ["g"], ["name"], "size", 8)
+    plan = ordering.running_totals(rows, ["g"], ["name"], "size", 100, 8)
     assert plan.agg(F.max("position"), F.max("offset")).first() == (50_000, 49_999)
 
 
