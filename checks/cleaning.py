@@ -132,9 +132,9 @@ def drop_system(v):
 
 @case("transform_hook", f"""
 SELECT entity_id AS sample_id, priority, {TOTAL} AS total FROM raw_orders
-WHERE {HAS_FILE} AND {PATTERN} AND {VALID_DATE} AND entity_id NOT LIKE '%99%'""", ("raw_orders",))
+WHERE {HAS_FILE} AND {PATTERN} AND {VALID_DATE} AND src_total <> 'n/a'""", ("raw_orders",))
 def transform_hook(v):
-    cleanup = lambda df: df.filter(~col("entity:order_id").contains("99"))
+    cleanup = lambda df: df.filter(col("src_total") != "n/a")
     done = ingest.process_samples(v.raw, INTAKE, entity_type="order", transform=cleanup, as_of=ORDERS_AS_OF)
     return done.select("sample_id", "priority", "total")
 

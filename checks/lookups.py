@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import case
 from checks.views import ORDERS_AS_OF
 from samplyard.functions.columns import col
+from samplyard.functions.dates import utc_wall
 from samplyard.operators import lookup, summary
 
 NOW = f"timestamp '{ORDERS_AS_OF}'"
@@ -222,7 +223,7 @@ def streamed(v, build):
     out = work_path(v.spark, "stream")
     w.start_updates(counts, out, work_path(v.spark, "offsets")).awaitTermination()
     keys = ["window_start", "window_end", "event_type"]
-    utc = {k: F.convert_timezone(F.current_timezone(), F.lit("UTC"), col(k).cast("timestamp_ntz")) for k in keys[:2]}
+    utc = {k: utc_wall(col(k)) for k in keys[:2]}
     return w.latest_state(v.spark.read.parquet(out), keys).withColumns(utc)
 
 

@@ -147,6 +147,22 @@ def parse_utc(value: Column, layout: str | None = None) -> Column:
     return parse_wall(value, layout) - F.make_dt_interval(F.lit(0), F.lit(0), minutes)
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def utc_instant(wall: Column) -> Column:
+    """The instant a zone-less UTC time stands for, whatever the session's zone and its clock changes."""
+    since = (wall - F.lit(EPOCH).cast("timestamp_ntz")).cast("interval second").cast("decimal(20,6)")
+    return F.timestamp_micros((since * 1_000_000).cast("bigint"))
+
+
+def utc_wall(instant: Column) -> Column:
+    """UTC wall time of an instant."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    none = F.lit(0)
+    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(none, none, none, seconds)
+
+
 def iso_text(wall: Column, zone: Column | None = None) -> Column:
     """ISO text; microseconds appear only when there are some."""
     text = F.regexp_replace(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "")

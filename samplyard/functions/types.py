@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from samplyard.functions.dates import parse_utc, parse_wall
+from samplyard.functions.dates import parse_utc, parse_wall, utc_instant
 
 # The only texts that count as booleans.
 TRUE_TEXTS = ("true", "True", "TRUE", "1")
@@ -60,7 +60,7 @@ def coerce(value: Column, kind: str, given: T.DataType | None = None) -> Column:
         if isinstance(given, T.TimestampType):
             return value
         naive = value.cast("timestamp_ntz") if temporal else parse_utc(value.cast("string"))
-        return F.convert_timezone(F.lit("UTC"), F.current_timezone(), naive).cast("timestamp")
+        return utc_instant(naive)
     if kind in ("string", "json"):
         return value.cast("string")
     return value

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from samplyard.functions.columns import col, cols, data_type, filled
-from samplyard.functions.dates import format_date, parse_wall
+from samplyard.functions.dates import format_date, parse_wall, utc_wall
 from samplyard.functions.types import coerce
 from samplyard.operators.joins import first_per_key, keyed_join, without_keys
 from samplyard.schema import SchemaSpec
@@ -26,7 +26,7 @@ CONFIG_PREFIX = "__config_"
 def moment(as_of: datetime | str | Column | None) -> Column:
     """UTC wall time as ``timestamp_ntz``; the current time when nothing is given."""
     if as_of is None:
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+        return utc_wall(F.current_timestamp())
     return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
 
 

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from samplyard.functions.columns import col, cols
 from samplyard.functions.paths import destination_path, is_object_path
 from samplyard.operators.joins import keyed_join
+from samplyard.operators.ordering import running_totals
+from samplyard.session import checkpoint_root
 
 CHUNK = 1024 * 1024
 BLOCK = 256 * 1024 * 1024
@@ -114,9 +116,9 @@ def concatenate(plan: DataFrame, folder: str, remove_sources: bool = True, block
     size is unknown the sizes on disk are used and the sources stay.
     Returns (output_name, success, bytes, error).
     """
+    checkpoint_root(plan.sparkSession)
     folder = folder.rstrip("/")
     run = uuid.uuid4().hex
-    from samplyard.operators.ordering import running_totals
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -150,8 +151,6 @@ def configs_from_template(
 
     The template is a set of literals, so no join is needed. Nested values become JSON text.
     """
-    import json
-
     merged: dict[str, Any] = dict(template or {})
     for key, value in (defaults or {}).items():
         merged.setdefault(key, value)

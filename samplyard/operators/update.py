@@ -6,6 +6,7 @@ that is not in the map is left alone, a field mapped to null is cleared: absent
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from samplyard.functions.columns import col, cols
 from samplyard.functions.types import coerce
 from samplyard.operators.clean import moment
-from samplyard.operators.joins import distinct_keys, keyed_join
+from samplyard.operators.joins import distinct_keys, keyed_join, without_keys
 from samplyard.schema import SchemaSpec
 
 CHANGES = "changes"
@@ -218,8 +219,6 @@ def update_where(
 
 
 def update_config(configs: DataFrame, config_id: str, values: Mapping[str, Any], schema: SchemaSpec | None = None, as_of=None) -> DataFrame:
-    import json
-
     texts = {k: json.dumps(v) if isinstance(v, (dict, list)) else v for k, v in values.items()}
     stamps = ["updated_at"] + (schema.having("updated_datetime") if schema else [])
     return update_where(configs, col("id") == config_id, texts, schema, as_of, stamps=stamps)
@@ -238,8 +237,6 @@ def deactivate(configs: DataFrame, filters: Mapping[str, Any], as_of=None) -> Da
 
 
 def delete_ids(target: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
-    from samplyard.operators.joins import without_keys
-
     return without_keys(target, ids, [key])
 
 

@@ -7,6 +7,7 @@ target of a running job, and a failed overwrite can be repeated from the staged
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from typing import Any
 
@@ -58,8 +59,6 @@ def append_rows(df: DataFrame, path: str, mode: str = "append", partitioned: boo
 
 def insert_rows(spark: SparkSession, rows: list[Mapping[str, Any]], schema: SchemaSpec, path: str) -> None:
     """Append a few literal rows; the types come from the schema, not from the values."""
-    import json
-
     lines = spark.createDataFrame([(json.dumps(dict(r), default=str),) for r in rows], "value string")
     fields = ", ".join(f"`{n}` string" for n in schema.names)
     parsed = lines.select(F.from_json("value", fields).alias("row")).select("row.*")
@@ -69,7 +68,7 @@ def insert_rows(spark: SparkSession, rows: list[Mapping[str, Any]], schema: Sche
 def load_samples(df: DataFrame, cleaned_by, path: str, mode: str = "append") -> dict[str, int]:
     """Clean and append in one job; counts come from observations, not from a second pass.
 
-    ``cleaned_by`` maps the raw frame to cleaned rows.
+    ``cleaned_by`` maps the raw frame to cleaned rows and reads it once.
     """
     seen, kept = Observation(), Observation()
     raw = df.observe(seen, F.count(F.lit(1)).alias("n"))

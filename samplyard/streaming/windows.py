@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from samplyard.functions.columns import col
+from samplyard.functions.dates import utc_instant
 from samplyard.operators.joins import first_per_key
 
 BATCH = "emitted_in"
@@ -14,8 +15,7 @@ BATCH = "emitted_in"
 
 def event_time(df: DataFrame, column: str) -> DataFrame:
     """Watermarks need a zoned timestamp: read the zone-less column as UTC."""
-    zoned = F.convert_timezone(F.lit("UTC"), F.current_timezone(), col(column)).cast("timestamp")
-    return df.withColumn(column, zoned)
+    return df.withColumn(column, utc_instant(col(column)))
 
 
 def windowed_counts(df: DataFrame, time: str, keys: list[str], length: str = "1 hour", slide: str | None = None) -> DataFrame:

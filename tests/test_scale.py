@@ -111,3 +111,16 @@ def test_no_driver_or_cross_join_in_registered_plans(spark):
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_scans_read_only_what_is_used(spark):
+    import __spark_entry__ as entry
+
+    def scan(name):
+        plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        return plan.split("ReadSchema: ")[1].split("\n")[0]
+
+    assert scan("summary_by_entity") == "struct<o_orderpriority:string>"
+    assert "o_totalprice" not in scan("tf_month") and "text" not in scan("select_ids")
+    plan = entry.queries()["tf_month"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan

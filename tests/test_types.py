@@ -47,3 +47,18 @@ def test_typed_input_passes(spark):
 def test_nested_values_become_json_text(spark):
     df = spark.createDataFrame([(["a", "b"],)], "t array<string>")
     assert df.select(coerce(F.col("t"), "json", T.ArrayType(T.StringType()))).first()[0] == '["a","b"]'
+
+
+def test_utc_times_ignore_the_sessions_clock_changes(spark):
+    from samplyard.functions.dates import utc_instant, utc_wall
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    walls = [datetime(2024, 3, 10, 10, 30), datetime(2024, 11, 3, 8, 59, 59, 5), datetime(2024, 11, 3, 9, 30), datetime(1969, 1, 1)]
+    df = spark.createDataFrame([(w,) for w in walls], "t timestamp_ntz")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        rows = df.select(utc_wall(utc_instant(F.col("t"))), F.unix_micros(utc_instant(F.col("t")))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r[0] for r in rows] == walls
+    assert [r[1] for r in rows] == [round(w.replace(tzinfo=timezone.utc).timestamp() * 1_000_000) for w in walls]
