@@ -5,6 +5,7 @@ and a hot key does too. Adaptive execution splits a hot key, but only when both
 straight from a shuffle made for the join; a de-duplicated side is already partitioned by the key
 and blocks that. Joining on ``(hash of the key, key)`` cures both: the hash column forces the
 join's own shuffle on either side, and null keys get a row-dependent hash, so they spread out.
+The hash is a plain function of the row, so a repeated task sends every row to the same place.
 Whether a side is broadcast is left to Spark, which decides by the measured size.
 """
 
@@ -14,19 +15,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from samplyard.functions.columns import col, cols, hashable
 
 HASH = "__key_hash"
 
 
+def spread_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """A few narrow columns that tell rows with a null key apart.
+
+    The hash makes the scan read them, so wide text is avoided: up to three fixed-width columns,
+    and the leading other columns only if there are fewer.
+    """
+    others = [f for f in df.schema.fields if f.name not in keys and f.name in hashable(df)]
+    narrow = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    fixed = [f.name for f in others if isinstance(f.dataType, narrow)]
+    rest = [f.name for f in others if f.name not in fixed and isinstance(f.dataType, T.StringType)]
+    return [*keys, *(fixed + rest)[:3]]
+
+
 def _with_hash(df: DataFrame, keys: Sequence[str], spread_nulls: bool) -> DataFrame:
     digest: Column = F.xxhash64(*cols(keys))
     if spread_nulls:
         missing = F.lit(False)
         for key in keys:
             missing = missing | col(key).isNull()
-        digest = F.when(missing, F.xxhash64(*cols(hashable(df)))).otherwise(digest)
+        digest = F.when(missing, F.xxhash64(*cols(spread_columns(df, keys)))).otherwise(digest)
     return df.withColumn(HASH, digest)
 
 
@@ -36,18 +51,26 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | str, how
     ``right`` should have at most one row per key unless ``how`` is a semi or anti join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    joined = _with_hash(left, keys, how != "inner").join(
-        _with_hash(right, keys, False), [HASH, *keys], how
-    )
+    if how in ("inner", "left_semi"):
+        left = complete(left, keys)
+    spread = how not in ("inner", "left_semi")
+    joined = _with_hash(left, keys, spread).join(_with_hash(right, keys, False), [HASH, *keys], how)
     if how in ("left_anti", "left_semi"):
         return joined.select(*cols(left.columns))
     payload = [name for name in right.columns if name not in keys]
     return joined.select(*cols(left.columns), *cols(payload))
 
 
+def complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in which every key is present."""
+    for key in keys:
+        df = df.filter(col(key).isNotNull())
+    return df
+
+
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct complete keys; copies collapse before the shuffle."""
-    return df.select(*cols(keys)).dropna(subset=list(keys)).distinct()
+    return complete(df.select(*cols(keys)), keys).distinct()
 
 
 def without_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -83,7 +106,7 @@ def top_per_key(
     Round one keeps the best ``k`` of each (key, salt) slice, so a hot key is ranked by many
     tasks; round two ranks at most ``k * salts`` survivors per key.
     """
-    salt = F.pmod(F.xxhash64(*cols(hashable(df))), F.lit(salts))
+    salt = F.pmod(F.xxhash64(*cols(spread_columns(df, keys))), F.lit(salts))
     sliced = df.withColumn("__salt", salt)
     by_slice = Window.partitionBy(*cols(keys), F.col("__salt")).orderBy(*order)
     by_key = Window.partitionBy(*cols(keys)).orderBy(*order)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols, hashable
-from samplyard.operators.joins import keyed_join, with_keys
+from samplyard.operators.joins import distinct_keys, keyed_join, with_keys
 
 SEED = 42  # fixed value: the shuffle seed of a filtered search
 
@@ -77,7 +77,7 @@ def select_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 def missing_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Requested ids the table does not have."""
     wanted = ids.select(col(key)).distinct()
-    return keyed_join(wanted, df.select(col(key)).dropna().distinct(), key, "left_anti")
+    return keyed_join(wanted, distinct_keys(df, [key]), key, "left_anti")
 
 
 def select_ids_strict(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols
 from samplyard.functions.names import is_read, megabyte_text, strip_lane
-from samplyard.operators.joins import keyed_join, with_keys
+from samplyard.operators.joins import distinct_keys, keyed_join, with_keys
 from samplyard.operators.ordering import running_totals
 
 
@@ -112,7 +112,7 @@ def match_datasets(
     agree on both sides.
     """
     keys = [*scope, sample]
-    wanted = requests.select(*cols(scope), F.trim(col(sample)).alias(sample)).dropna().distinct()
+    wanted = distinct_keys(requests.select(*cols(scope), F.trim(col(sample)).alias(sample)), keys)
     stripped = strip_lane(col("name"))
     # A dataset offers itself under its own name and, if it has a lane, under the bare name.
     offers = F.array_compact(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, is_blank
 from samplyard.functions.types import coerce
-from samplyard.operators.joins import first_per_key, keyed_join
+from samplyard.operators.joins import complete, first_per_key, keyed_join
 from samplyard.operators.update import CHANGES, POSITION
 from samplyard.schema import SchemaSpec
 
@@ -45,11 +45,11 @@ def sync_pairs(
         *[col(s) for s in scope],
         *[_typed(source, c, schema.by_name[n].kind).alias(f"__source_{n}") for n, c in feeding.items()],
         *[col(t).alias(f"__tie_{i}") for i, t in enumerate(tie_break)],
-    ).dropna(subset=keys)
+    )
     order = [col(f"__tie_{i}") for i in range(len(tie_break))] or [
         col(f"__source_{n}") for n in feeding
     ]
-    first = first_per_key(side, keys, order)
+    first = first_per_key(complete(side, keys), keys, order)
     return keyed_join(samples, first, keys, "inner"), list(feeding)
 
 

@@ -15,7 +15,7 @@ from samplyard.operators.joins import distinct_keys, keyed_join, without_keys
 
 
 def _keys_as(df: DataFrame, column: str, name: str) -> DataFrame:
-    return df.select(col(column).cast("string").alias(name)).dropna().distinct()
+    return distinct_keys(df.select(col(column).cast("string").alias(name)), [name])
 
 
 def common_ids(left: DataFrame, right: DataFrame, left_key: str, right_key: str, name: str = "id") -> DataFrame:

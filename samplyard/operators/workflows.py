@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols, is_blank
-from samplyard.operators.joins import first_per_key, keyed_join, with_keys
+from samplyard.operators.joins import complete, first_per_key, keyed_join, with_keys
 from samplyard.operators.lookup import FINAL_STATES
 
 
@@ -103,7 +103,7 @@ def backfill_column(target: DataFrame, other: DataFrame, column: str, key: str,
         col(column).alias("__fill"),
         col(tie_break or column).alias("__tie"),
     )
-    first = first_per_key(side.dropna(subset=[key]), [key], [col("__tie")]).drop("__tie")
+    first = first_per_key(complete(side, [key]), [key], [col("__tie")]).drop("__tie")
     joined = keyed_join(target, first, key)
     return joined.select(
         *[F.coalesce(col(n), col("__fill")).alias(n) if n == column else col(n) for n in target.columns]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from samplyard.functions.columns import col, cols
 from samplyard.operators import lookup, update
 from samplyard.operators.clean import moment
-from samplyard.operators.joins import keyed_join
+from samplyard.operators.joins import distinct_keys, keyed_join
 from samplyard.operators.summary import derived_status
 from samplyard.operators.sync import as_records, field_changes
 from samplyard.schema import SchemaSpec
@@ -88,7 +88,7 @@ def sync_results(changes: DataFrame, destination: DataFrame, configs: DataFrame,
     )
     updated = per_sample.groupBy(config).agg(F.count(F.lit(1)).alias("updated"))
     entities = per_sample.filter("propagate").select(config, col(schema.identifier).alias(key)).distinct()
-    there = destination.select(col(config), col(key)).dropna().distinct().withColumn("__there", F.lit(True))
+    there = distinct_keys(destination, [config, key]).withColumn("__there", F.lit(True))
     patched = keyed_join(entities, there, [config, key]).groupBy(config).agg(
         F.count(col("__there")).alias("propagated"),
         F.count_if(col("__there").isNull()).alias("failed"),
