@@ -265,7 +265,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     return result
 
 
-def bands(scores: DataFrame, width: float = 5.0, least: float = 0.05) -> DataFrame:
+def bands(scores: DataFrame, width: float = 8.0, least: float = 0.05) -> DataFrame:
     """``lang, low, high``: bounds of the log perplexity a byte, from the quartiles of a language.
 
     ``low`` is the median less ``width`` times its distance to the first quartile, ``high`` the
@@ -286,7 +286,7 @@ def bands(scores: DataFrame, width: float = 5.0, least: float = 0.05) -> DataFra
     )
 
 
-def judge_documents(docs: DataFrame, width: float = 5.0) -> DataFrame:
+def judge_documents(docs: DataFrame, width: float = 8.0) -> DataFrame:
     """Counts, ``base_failed``, ``kept`` and ``perplexity`` (of a byte) of every row.
 
     A row is kept if it passes the base rules (50 words at least, no more than half of them in

@@ -3,7 +3,7 @@
 Words hash into ``SLOTS`` slots. Every slot has a fixed sparse index vector of -1, 0 and 1; the
 context vector of a slot is the sum of the index vectors of its neighbours within two words, over a
 sample of labelled documents. Sums are whole numbers, so they are the same in every run. A
-document is the mean of its words' vectors with two shape features; a network with one hidden layer
+document is the mean of its words' vectors with a few shape features; a network with one hidden layer
 learns on the sample, and a temperature fitted on a part it didn't learn from calibrates its scores.
 The model has a fixed size; only the sample, bounded by ``sample``, is gathered by the driver.
 """
@@ -25,6 +25,8 @@ SLOT_BITS = 14
 SLOTS = 1 << SLOT_BITS
 SIZE = 64
 REACH = 2
+#: Features beside the pooled vector.
+SHAPES = 4
 #: Slots whose sums travel in one row.
 BLOCK = 1024
 #: Labelled rows the model is fitted on, at most.
@@ -95,10 +97,11 @@ def word_vectors(context: np.ndarray) -> np.ndarray:
 
 
 def features(batch: pa.RecordBatch, vectors: np.ndarray) -> np.ndarray:
-    """Pooled vector, log of the word count and share of distinct words of every text."""
+    """Pooled vector, its length, log of the word count, share of distinct words and share of words
+    equal to the one before, of every text."""
     slots, hashes, at = word_slots(batch)
     counts = np.diff(at)
-    pooled = np.zeros((len(counts), SIZE + 2), np.float32)
+    pooled = np.zeros((len(counts), SIZE + SHAPES), np.float32)
     full = np.flatnonzero(counts)
     if len(full):
         pooled[full, :SIZE] = np.add.reduceat(vectors[slots], at[full], axis=0) / counts[full, None]
@@ -108,6 +111,9 @@ def features(batch: pa.RecordBatch, vectors: np.ndarray) -> np.ndarray:
         distinct = np.bincount((keys[new] >> np.uint64(40)).astype(np.int64), minlength=len(counts))
         pooled[full, SIZE] = np.log1p(counts[full])
         pooled[full, SIZE + 1] = distinct[full] / counts[full]
+        again = np.concatenate([[False], (hashes[1:] == hashes[:-1]) & (doc[1:] == doc[:-1])])
+        pooled[full, SIZE + 2] = np.add.reduceat(again.astype(np.int64), at[full]) / counts[full]
+        pooled[full, SIZE + 3] = np.sqrt(np.square(pooled[full, :SIZE]).sum(axis=1))
     return pooled
 
 
@@ -131,10 +137,10 @@ class Network:
         return 1.0 / (1.0 + np.exp(-np.clip(self.logits(x) / self.temperature, -50, 50)))
 
 
-def fit_network(x: np.ndarray, y: np.ndarray, hidden: int = 32, rounds: int = 1500, decay: float = 1e-3) -> Network:
+def fit_network(x: np.ndarray, y: np.ndarray, hidden: int = 32, rounds: int = 1500, decay: float = 5e-3) -> Network:
     """Adam on the log loss in small batches, in a fixed order. Without rows, or with rows of one
     class, the scores are the smoothed share of label 1."""
-    width = x.shape[1] if x.ndim == 2 else SIZE + 2
+    width = x.shape[1] if x.ndim == 2 else SIZE + SHAPES
     share = (y.sum() + 1.0) / (len(y) + 2.0)
     prior = float(np.log(share / (1 - share)))
     if len(y) < 2 or y.min() == y.max():
@@ -188,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     table = rows.withColumn("label", F.col("label").cast("long")).mapInArrow(pool, "doc_id long, label long, x binary").toArrow()
     ids = np.array(table.column("doc_id").to_pylist(), np.int64)
     y = np.array(table.column("label").to_pylist(), np.float64)
-    x = np.array([np.frombuffer(b, "<f4") for b in table.column("x").to_pylist()], np.float64).reshape(len(y), SIZE + 2)
+    x = np.array([np.frombuffer(b, "<f4") for b in table.column("x").to_pylist()], np.float64).reshape(len(y), SIZE + SHAPES)
     # The same rows in the same order in every run, whatever the tasks' order was.
     order = np.lexsort([x[:, 0], ids]) if len(ids) else np.zeros(0, np.int64)
     ids, x, y = ids[order], x[order], y[order]
