@@ -269,16 +269,23 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
     touched = bloom_filter(runs.select("doc_id"), "doc_id")
     columns = filled.columns
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def marked(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
+        """Rows that may, or can't, have lost words."""
         changed = touched.value
         for batch in pieces(batches):
-            hit = changed.has(_owners(batch).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_text_hashes(batch)), pa.array(hit)], [*columns, "text_hash", "maybe"])
+            hit = changed.has(_owners(batch).astype(np.int64)) == wanted
+            if hit.any():
+                yield batch.filter(pa.array(hit))
+
+    def with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in marked(batches, True):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_text_hashes(batch))], [*columns, "text_hash"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             counts, gone, digests, kept = [], [], [], []
-            for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("runs").to_pylist()):
+            runs = batch.column("runs").to_pylist() if "runs" in batch.schema.names else [None] * batch.num_rows
+            for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), runs):
                 left = words = text.split()
                 if spans:
                     keep = np.ones(len(words), bool)
@@ -296,11 +303,8 @@ def remove_repeats(docs: DataFrame, length: int = WINDOW) -> DataFrame:
             )
 
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in filled.schema.fields)
-    marked = filled.mapInArrow(mark, own + ", text_hash long, maybe boolean")
+    result = own + ", n_words long, n_removed long, kept_sha256 string, kept_text string"
     # Only rows that may have lost words move with their text.
-    joined = marked.filter("maybe").join(runs, ["doc_id", "text_hash"], "left")
-    untouched = marked.filter("NOT maybe").withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType))
-    chosen = [*columns, "runs"]
-    return joined.select(chosen).unionByName(untouched.select(chosen)).mapInArrow(
-        cut, own + ", n_words long, n_removed long, kept_sha256 string, kept_text string"
-    )
+    moved = filled.mapInArrow(with_hash, own + ", text_hash long").join(runs, ["doc_id", "text_hash"], "left")
+    stayed = filled.mapInArrow(lambda batches: cut(marked(batches, False)), result)
+    return moved.select(*columns, "runs").mapInArrow(cut, result).unionByName(stayed)
