@@ -96,9 +96,17 @@ def unique_submissions(v):
 @case("incomplete_workflows", """
 SELECT id, workflow_id, workflow_state FROM samples
 WHERE coalesce(workflow_id, '') <> '' AND coalesce(workflow_state, '') NOT IN ('Succeeded', 'Failed', 'Aborted')
-QUALIFY row_number() OVER (PARTITION BY config_id ORDER BY created_at DESC, id) <= 1000""", ("samples",))
+""", ("samples",))
 def incomplete_workflows(v):
-    return lookup.incomplete_workflows(v.samples, ORDERS_AS_OF, LOOK_BACK, 1000).select("id", "workflow_id", "workflow_state")
+    return lookup.incomplete_workflows(v.samples, ORDERS_AS_OF, LOOK_BACK).select("id", "workflow_id", "workflow_state")
+
+
+@case("incomplete_workflows_limit", """
+SELECT id, workflow_id, workflow_state FROM samples
+WHERE coalesce(workflow_id, '') <> '' AND coalesce(workflow_state, '') NOT IN ('Succeeded', 'Failed', 'Aborted')
+QUALIFY row_number() OVER (PARTITION BY config_id ORDER BY created_at DESC, id) <= 1""", ("samples",))
+def incomplete_workflows_limit(v):
+    return lookup.incomplete_workflows(v.samples, ORDERS_AS_OF, LOOK_BACK, 1).select("id", "workflow_id", "workflow_state")
 
 
 COUNTS = "count(*) AS total_samples, count(uploaded_at) AS uploaded_samples, count(submitted_at) AS submitted_samples"
@@ -218,10 +226,15 @@ def streamed(v, build):
     from samplyard.streaming import windows as w
 
     events = v.events
-    stream = v.spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(v.sf_dir)
-    counts = build(w.event_time(stream, "ts"), "ts", ["event_type"])
+    # The brackets make the name a pattern, which a stream resolves to a file and to a folder alike.
+    stream = v.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{v.sf_dir}/events.parque[t]")
+    # Files come in any order, so the bound spans all the times there can be.
+    counts = build(w.event_time(stream, "ts"), "ts", ["event_type"], "36500 days")
     out = work_path(v.spark, "stream")
-    w.start_updates(counts, out, work_path(v.spark, "offsets")).awaitTermination()
+    query = w.start_updates(counts, out, work_path(v.spark, "offsets"))
+    query.awaitTermination()
+    if w.dropped_rows(query):
+        raise RuntimeError("the stream dropped late rows")
     keys = ["window_start", "window_end", "event_type"]
     utc = {k: utc_wall(col(k)) for k in keys[:2]}
     return w.latest_state(v.spark.read.parquet(out), keys).withColumns(utc)

@@ -37,12 +37,15 @@ def to_boolean(value: Column) -> Column:
     return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False)
 
 
-def coerce(value: Column, kind: str, given: T.DataType | None = None) -> Column:
+def coerce(value: Column, kind: str, given: T.DataType | None = None, declared: T.DataType | None = None) -> Column:
     """``value`` as the declared kind; what does not fit becomes null.
 
-    ``given`` is the column's present type; text is assumed.
+    ``given`` is the column's present type; text is assumed. ``declared`` is the full type of a
+    record or array, which text is then parsed into.
     """
     given = given or T.StringType()
+    if kind in ("record", "array") and declared is not None and isinstance(given, T.StringType):
+        return F.from_json(value, declared)
     if isinstance(given, (T.ArrayType, T.StructType, T.MapType)):
         return F.to_json(value) if kind in ("string", "json") else value
     temporal = isinstance(given, (T.TimestampType, T.TimestampNTZType, T.DateType))

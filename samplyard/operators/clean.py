@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from samplyard.functions.columns import col, cols, data_type, filled
+from samplyard.functions.columns import col, cols, data_type, filled, hashable
 from samplyard.functions.dates import format_date, parse_wall, utc_wall
 from samplyard.functions.types import coerce
-from samplyard.operators.joins import first_per_key, keyed_join, without_keys
+from samplyard.operators.joins import complete, first_per_key, keyed_join, without_keys
 from samplyard.schema import SchemaSpec
 
 CONFIG_PREFIX = "__config_"
@@ -85,7 +85,9 @@ def attach_config(df: DataFrame, configs: DataFrame, key: str, wanted: Sequence[
     side = configs.select(
         col(config_id).alias(key), *[col(n).alias(CONFIG_PREFIX + n) for n in present]
     )
-    return keyed_join(df, side, key, "left")
+    # One config per id: of several, the one with the least values.
+    plain = [n for n in side.columns if n != key and n in hashable(side)]
+    return keyed_join(df, first_per_key(complete(side, [key]), [key], cols(plain) or [F.lit(0)]) if present else side.distinct(), key, "left")
 
 
 def inherit_from_config(df: DataFrame, schema: SchemaSpec, config: Mapping[str, Any]) -> DataFrame:
@@ -150,11 +152,14 @@ def matches_patterns(schema: SchemaSpec, columns: Sequence[str]) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def has_valid_dates(schema: SchemaSpec, columns: Sequence[str]) -> Column:
-    """Every field with a date layout is null or can be read as a date."""
+def has_valid_dates(schema: SchemaSpec, columns: Sequence[str], generated: Sequence[str] = ()) -> Column:
+    """Every field with a date layout is null or can be read as a date.
+
+    ``generated`` fields are overwritten before their dates are read, so their raw values don't count.
+    """
     ok = F.lit(True)
     for name, layout in schema.date_formats.items():
-        if name in columns:
+        if name in columns and name not in generated:
             text = col(name).cast("string")
             ok = ok & (text.isNull() | parse_wall(text, layout).isNotNull())
     return F.coalesce(ok, F.lit(False))
@@ -165,7 +170,7 @@ def rejection(schema: SchemaSpec, columns: Sequence[str]) -> Column:
     return (
         F.when(~has_sequence_file(schema), "no_sequence_file")
         .when(~matches_patterns(schema, columns), "pattern")
-        .when(~has_valid_dates(schema, columns), "date")
+        .when(~has_valid_dates(schema, columns, list(system_value_columns(schema, None))), "date")
     )
 
 
@@ -226,7 +231,7 @@ def coerce_types(df: DataFrame, schema: SchemaSpec) -> DataFrame:
         if spec is None:
             out.append(col(name))
         else:
-            out.append(coerce(col(name), spec.kind, data_type(df, name)).alias(name, metadata=spec.struct_field.metadata))
+            out.append(coerce(col(name), spec.kind, data_type(df, name), spec.data_type).alias(name, metadata=spec.struct_field.metadata))
     return df.select(*out)
 
 
@@ -247,5 +252,5 @@ def finish_values(df: DataFrame, schema: SchemaSpec, as_of=None) -> DataFrame:
         if name in layouts:
             value = format_date(value.cast("string"), layouts[name])
             given = None
-        out.append(coerce(value, spec.kind, given).alias(name, metadata=spec.struct_field.metadata))
+        out.append(coerce(value, spec.kind, given, spec.data_type).alias(name, metadata=spec.struct_field.metadata))
     return df.select(*out)

@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,11 +74,17 @@ def _open_path(path: str, mounts: dict[str, str]):
 
 
 def copy_files(manifest: DataFrame, mounts: dict[str, str] | None = None, tasks: int | None = None) -> DataFrame:
-    """Run a manifest: (success, source, destination, error) per row, failures kept as rows."""
+    """Run a manifest: (success, source, destination, error) per row, failures kept as rows.
+
+    The copies run now, once, however often the results are read; each attempt of a task writes
+    under a name of its own.
+    """
+    checkpoint_root(manifest.sparkSession)
     mounts = dict(mounts or {})
     run = uuid.uuid4().hex
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        attempt = f"{run}.{TaskContext.get().taskAttemptId()}"
         for batch in batches:
             rows = []
             for source, destination in zip(batch["source"], batch["destination"]):
@@ -87,7 +94,7 @@ def copy_files(manifest: DataFrame, mounts: dict[str, str] | None = None, tasks:
                     to_fs, to_path = _open_path(destination, mounts)
                     folder, _, name = to_path.rpartition("/")
                     to_fs.create_dir(folder, recursive=True)
-                    temporary = f"{folder}/.tmp.{name}.{run}"
+                    temporary = f"{folder}/.tmp.{name}.{attempt}"
                     with (
                         # No compression by file extension: bytes are copied as they are.
                         from_fs.open_input_stream(from_path, compression=None) as reader,
@@ -104,7 +111,7 @@ def copy_files(manifest: DataFrame, mounts: dict[str, str] | None = None, tasks:
     spread = manifest.select("source", "destination").repartition(
         tasks or int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source"
     )
-    return spread.mapInPandas(copy, "success boolean, source string, destination string, error string")
+    return spread.mapInPandas(copy, "success boolean, source string, destination string, error string").checkpoint()
 
 
 def concatenate(plan: DataFrame, folder: str, remove_sources: bool = True, block: int = BLOCK) -> DataFrame:

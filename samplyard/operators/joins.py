@@ -17,22 +17,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from samplyard.functions.columns import col, cols, hashable
+from samplyard.functions.columns import col, cols
 
 HASH = "__key_hash"
 
 
 def spread_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    """A few narrow columns that tell rows with a null key apart.
+    """The columns that tell rows with a null key, or with one hot key, apart: all scalar ones.
 
-    The hash makes the scan read them, so wide text is avoided: up to three fixed-width columns,
-    and the leading other columns only if there are fewer.
+    A few of them would not do: the times of one load are equal in all its rows, and which column
+    differs is not known here.
     """
-    others = [f for f in df.schema.fields if f.name not in keys and f.name in hashable(df)]
-    narrow = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    fixed = [f.name for f in others if isinstance(f.dataType, narrow)]
-    rest = [f.name for f in others if f.name not in fixed and isinstance(f.dataType, T.StringType)]
-    return [*keys, *(fixed + rest)[:3]]
+    scalar = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType, T.BooleanType)
+    others = [f.name for f in df.schema.fields if f.name not in keys and isinstance(f.dataType, scalar)]
+    return [*keys, *others]
 
 
 def _with_hash(df: DataFrame, keys: Sequence[str], spread_nulls: bool) -> DataFrame:
@@ -88,8 +86,8 @@ def first_per_key(
 ) -> DataFrame:
     """One whole row per key: the first (or last) in ``order``.
 
-    An aggregate rather than a window, so each map task sends one row per key and a hot key
-    costs nothing. ``order`` should break ties.
+    An aggregate rather than a window, so each map task sends one row per key and a hot key is
+    no single task's work; the map tasks sort their rows by key for it. ``order`` should break ties.
     """
     payload = [name for name in df.columns if name not in keys]
     pick = F.max_by if last else F.min_by
@@ -99,13 +97,15 @@ def first_per_key(
 
 
 def top_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, salts: int = 64
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, salts: int | None = None
 ) -> DataFrame:
     """The first ``k`` rows of every key, in two rounds.
 
     Round one keeps the best ``k`` of each (key, salt) slice, so a hot key is ranked by many
-    tasks; round two ranks at most ``k * salts`` survivors per key.
+    tasks; round two ranks at most ``k * salts`` survivors per key. There are as many salts as
+    shuffle partitions unless ``salts`` says otherwise.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*cols(spread_columns(df, keys))), F.lit(salts))
     sliced = df.withColumn("__salt", salt)
     by_slice = Window.partitionBy(*cols(keys), F.col("__salt")).orderBy(*order)

@@ -1,6 +1,7 @@
 """Predicates and lookups over the ``samples`` and ``configs`` tables.
 
-Every filter is a plain column predicate, so it reaches the scan and prunes partitions.
+Every filter is a plain column predicate, so it reaches the scan; a filter on the creation time also
+names the day folders it implies, so the others are not opened.
 """
 
 from __future__ import annotations
@@ -19,6 +20,40 @@ from samplyard.operators.joins import distinct_keys, top_per_key, with_keys
 
 # States after which a workflow does not change any more.
 FINAL_STATES = ("Succeeded", "Failed", "Aborted")
+#: The partition column of a stored samples table: the day of ``created_at``.
+DAY = "created_date"
+
+
+def _bounds(timeframe, as_of, days_back, hours_back, start, end) -> tuple[Column, Column | None, bool]:
+    """First moment, last one (null: open) and whether the last belongs to the timeframe."""
+    now = moment(as_of)
+    today = now.cast("date").cast("timestamp_ntz")
+
+    def days(n: int) -> Column:
+        return F.make_dt_interval(days=F.lit(n))
+
+    def hours(n: int) -> Column:
+        return F.make_dt_interval(hours=F.lit(n))
+
+    frame = (timeframe or "today").lower()
+    if frame == "yesterday":
+        return today - days(1), today, False
+    if frame == "week":
+        return today - days(7), None, False
+    if frame == "month":
+        return today - days(30), None, False
+    if frame == "hourly":
+        return now - hours(1 if hours_back is None else hours_back), None, False
+    if frame == "custom":
+        if hours_back is not None:
+            return now - hours(hours_back), None, False
+        if days_back is not None:
+            return today - days(days_back), None, False
+        if start and end:
+            return moment(start), moment(end), True
+        if start:
+            return moment(start), None, False
+    return today, today + days(1), False
 
 
 def created_within(
@@ -36,36 +71,34 @@ def created_within(
     Anything else means today. Bounds are compared with the bare column, so they can be pushed
     into the scan.
     """
-    created = col(column)
-    now = moment(as_of)
-    today = now.cast("date").cast("timestamp_ntz")
-    day = F.make_dt_interval(days=F.lit(1))
+    low, high, closed = _bounds(timeframe, as_of, days_back, hours_back, start, end)
+    found = col(column) >= low
+    if high is None:
+        return found
+    return found & ((col(column) <= high) if closed else (col(column) < high))
 
-    def since_hours(hours: int) -> Column:
-        return created >= now - F.make_dt_interval(hours=F.lit(hours))
 
-    def since_days(days: int) -> Column:
-        return created >= today - F.make_dt_interval(days=F.lit(days))
+def day_folders(df: DataFrame, low: Column, high: Column | None = None) -> DataFrame:
+    """Only the day folders that can hold rows created from ``low`` to ``high``, if ``df`` has them.
 
-    frame = (timeframe or "today").lower()
-    if frame == "yesterday":
-        return (created >= today - day) & (created < today)
-    if frame == "week":
-        return since_days(7)
-    if frame == "month":
-        return since_days(30)
-    if frame == "hourly":
-        return since_hours(1 if hours_back is None else hours_back)
-    if frame == "custom":
-        if hours_back is not None:
-            return since_hours(hours_back)
-        if days_back is not None:
-            return since_days(days_back)
-        if start and end:
-            return created.between(moment(start), moment(end))
-        if start:
-            return created >= moment(start)
-    return (created >= today) & (created < today + day)
+    The day follows from the creation time, so no row is lost; scans skip the other folders.
+    """
+    if DAY not in df.columns:
+        return df
+    df = df.filter(col(DAY) >= low.cast("date"))
+    return df if high is None else df.filter(col(DAY) <= high.cast("date"))
+
+
+def in_timeframe(df: DataFrame, timeframe: str | None = "today", as_of=None, **window) -> DataFrame:
+    """The rows of :func:`created_within`, read from the day folders it implies."""
+    given = {"days_back": None, "hours_back": None, "start": None, "end": None} | {k: v for k, v in window.items() if k != "column"}
+    low, high, _ = _bounds(timeframe, as_of, **given)
+    found = df.filter(created_within(timeframe, as_of, **window))
+    return day_folders(found, low, high) if window.get("column", "created_at") == "created_at" else found
+
+
+def created_since(df: DataFrame, low: Column) -> DataFrame:
+    return day_folders(df.filter(col("created_at") >= low), low)
 
 
 def in_stage(uploaded: str | None = "not_uploaded", submitted: str | None = "not_submitted") -> Column:
@@ -95,7 +128,7 @@ def samples_in(
     **window,
 ) -> DataFrame:
     """Samples of a timeframe and life-cycle stage, newest first."""
-    found = samples.filter(created_within(timeframe, as_of, **window)).filter(in_stage(uploaded, submitted))
+    found = in_timeframe(samples, timeframe, as_of, **window).filter(in_stage(uploaded, submitted))
     if config_id:
         found = found.filter(col(config_key) == config_id)
     if set_name:
@@ -133,8 +166,7 @@ def query_samples(
         if isinstance(condition, Column):
             view = view.filter(condition)
         else:
-            text = re.sub(r"@(\w+)", r":\1", condition)
-            bound = {k: v for k, v in (parameters or {}).items() if re.search(rf":{k}\b", text)}
+            text, bound = _bind(condition, parameters or {})
             view = view.sparkSession.sql(f"SELECT * FROM {{rows}} WHERE {text}", args=bound, rows=view)
     if order_by:
         view = view.orderBy(*[_ordering(part) for part in order_by.split(",")])
@@ -143,6 +175,21 @@ def query_samples(
     return view.select(*cols(fields)) if fields else view
 
 
+def _bind(condition: str, parameters: Mapping[str, Any]) -> tuple[str, dict[str, Any]]:
+    """The condition with ``:name`` for each parameter, and the parameters it uses; quoted text and
+    names that are no parameters stay as they are."""
+    used: dict[str, Any] = {}
+
+    def place(found: re.Match) -> str:
+        name = found.group(2)
+        if name is None or name not in parameters:
+            return found.group(0)
+        used[name] = parameters[name]
+        return f":{name}"
+
+    return re.sub(r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`)|[@:](\w+)""", place, condition), used
+
+
 def _ordering(part: str) -> Column:
     name, _, direction = part.strip().partition(" ")
     return col(name).desc() if direction.strip().upper() == "DESC" else col(name).asc()
@@ -154,7 +201,7 @@ def existing_identifiers(samples: DataFrame, identifier: str, config_id: str | N
     return distinct_keys(rows, [identifier])
 
 
-def recent_not_uploaded(samples: DataFrame, k: int = 1000, config_key: str = "config_id") -> DataFrame:
+def recent_not_uploaded(samples: DataFrame, k: int, config_key: str = "config_id") -> DataFrame:
     """Newest ``k`` samples per config that are not uploaded yet; ties go by id."""
     waiting = samples.filter(col("uploaded_at").isNull())
     return top_per_key(waiting, [config_key], [col("created_at").desc(), col("id").asc()], k)
@@ -171,9 +218,7 @@ def unique_submissions(
 ) -> DataFrame:
     """Distinct (config, submission) seen in the look-back, by default only those lacking a workflow id."""
     now = moment(as_of)
-    rows = samples.filter(
-        filled(col(submission)) & (col("created_at") >= now - F.make_dt_interval(days=F.lit(days_back)))
-    )
+    rows = created_since(samples.filter(filled(col(submission))), now - F.make_dt_interval(days=F.lit(days_back)))
     if need_workflow_id:
         rows = rows.filter(is_blank(col(workflow)))
     return rows.select(col(config_key), col(submission)).distinct()
@@ -195,11 +240,8 @@ def incomplete_workflows(
 ) -> DataFrame:
     """Samples with a workflow that has not reached a final state; ``limit`` is per config."""
     now = moment(as_of)
-    rows = samples.filter(
-        filled(col(workflow))
-        & (is_blank(col(state)) | ~col(state).isin(*FINAL_STATES))
-        & (col("created_at") >= now - F.make_dt_interval(days=F.lit(days_back)))
-    )
+    open_rows = samples.filter(filled(col(workflow)) & (is_blank(col(state)) | ~col(state).isin(*FINAL_STATES)))
+    rows = created_since(open_rows, now - F.make_dt_interval(days=F.lit(days_back)))
     if limit is None:
         return rows
     return top_per_key(rows, [config_key], [col("created_at").desc(), col("id").asc()], limit)

@@ -12,32 +12,6 @@ from samplyard.operators.joins import keyed_join
 from samplyard.session import work_path
 
 
-HOT_ROWS = 1_000_000  # a group one task sorts without trouble
-
-
-def running_totals(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    amount: str,
-    hot_rows: int = HOT_ROWS,
-    slices: int | None = None,
-    measure: tuple[DataFrame, Sequence[str]] | None = None,
-) -> DataFrame:
-    """Adds ``position`` (from 1) and ``offset`` (sum of ``amount`` before the row) per key.
-
-    ``order`` must be a total order. The largest group is measured first, by a count that
-    combines on the map side: if one task can hold it, a window per key does the work, otherwise
-    the groups are cut into ranges. ``measure`` names a cheaper table and grouping to count
-    instead, whose groups are at least as large.
-    """
-    counted, by = measure or (df, keys)
-    largest = counted.groupBy(*cols(by)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if (largest or 0) <= hot_rows:
-        return _numbered(df, keys, order, amount)
-    return _numbered_by_range(df, keys, order, amount, slices)
-
-
 def _amount(name: str) -> Column:
     return F.coalesce(col(name).cast("bigint"), F.lit(0))
 
@@ -47,17 +21,21 @@ def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], amount:
     before = F.sum(_amount(amount)).over(per_key.rowsBetween(Window.unboundedPreceding, -1))
     return df.select(
         "*",
-        F.row_number().over(per_key).cast("bigint").alias("position"),
-        F.coalesce(before, F.lit(0)).alias("offset"),
+        F.row_number().over(per_key).cast("bigint").alias("__position"),
+        F.coalesce(before, F.lit(0)).alias("__offset"),
     )
 
 
-def _numbered_by_range(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, slices: int | None
+def running_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, slices: int | None = None
 ) -> DataFrame:
-    """Rows are cut into ranges of (key, order), each range is numbered on its own, and the totals
-    of the ranges, a handful of rows per key, supply where each range starts. The ranges come
-    from a sample, so they are pinned as a table in the shared folder before they are used twice.
+    """Adds ``position`` (from 1) and ``offset`` (sum of ``amount`` before the row) per key; own columns
+    of these names are replaced.
+
+    ``order`` must be a total order. One plan serves groups of every size: rows are cut into ranges
+    of (key, order), each range is numbered on its own, and the totals of the ranges, a handful of
+    rows per key, supply where each range starts. The ranges come from a sample, so they are pinned
+    as a table in the shared folder before they are used twice.
     """
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -81,7 +59,7 @@ def _numbered_by_range(
     )
     joined = keyed_join(numbered, starts, [*keys, "__slice"], "inner")
     return joined.select(
-        *cols(df.columns),
-        (col("__rows_before") + col("position")).alias("position"),
-        (col("__sum_before") + col("offset")).alias("offset"),
+        *cols([n for n in df.columns if n not in ("position", "offset")]),
+        (col("__rows_before") + col("__position")).alias("position"),
+        (col("__sum_before") + col("__offset")).alias("offset"),
     )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from samplyard.functions.columns import col, cols
 from samplyard.functions.types import coerce
 from samplyard.operators.clean import moment
-from samplyard.operators.joins import distinct_keys, keyed_join, without_keys
+from samplyard.operators.joins import complete, distinct_keys, first_per_key, keyed_join, without_keys
 from samplyard.schema import SchemaSpec
 
 CHANGES = "changes"
@@ -153,12 +153,14 @@ def set_fields(
 ) -> DataFrame:
     """Write values into the rows whose id is listed.
 
-    A value is a literal, or the name of a column that ``ids`` brings along (``ids`` then has to
-    hold one row per id).
+    A value is a literal, or the name of a column that ``ids`` brings along; of several rows of an
+    id, the one with the least values counts.
     """
     brought = [v.removeprefix("$") for v in values.values() if isinstance(v, str) and v.startswith("$")]
     if brought:
-        side = ids.select(col(key), *[col(n).alias(f"__new_{n}") for n in dict.fromkeys(brought)])
+        names = [f"__new_{n}" for n in dict.fromkeys(brought)]
+        side = ids.select(col(key), *[col(n.removeprefix("__new_")).alias(n) for n in names])
+        side = first_per_key(complete(side, [key]), [key], cols(names))
     else:
         side = distinct_keys(ids, [key])
     joined = keyed_join(target, side.withColumn("__hit", F.lit(True)), key)

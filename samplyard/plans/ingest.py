@@ -43,7 +43,7 @@ def process_samples(
     checked = (
         shaped.filter(clean.has_sequence_file(schema))
         .filter(clean.matches_patterns(schema, shaped.columns))
-        .filter(clean.has_valid_dates(schema, shaped.columns))
+        .filter(clean.has_valid_dates(schema, shaped.columns, list(clean.system_value_columns(schema, as_of))))
     )
     identifier = schema.identifier
     if known is not None and identifier:

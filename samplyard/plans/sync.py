@@ -35,7 +35,7 @@ def changes_for_configs(
     Source rows carry the config column, so one config never reads another one's table.
     """
     key = schema.config_key
-    recent = samples.filter(lookup.created_within("custom", as_of, days_back=days_back))
+    recent = lookup.in_timeframe(samples, "custom", as_of, days_back=days_back)
     ours = keyed_join(recent, configs.select(col("id").cast("string").alias(key)), key, "left_semi")
     return field_changes(
         ours,

@@ -29,11 +29,11 @@ def split_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def documents_to_configs(documents: DataFrame, schema: SchemaSpec, keep: Sequence[str] = ()) -> DataFrame:
-    """One typed column per declared field; nested values stay JSON text."""
+    """One typed column per declared field; json fields stay text."""
     return documents.select(
         *[col(n) for n in keep],
         *[
-            coerce(F.element_at(col("document"), F.lit(spec.name)), spec.kind).alias(spec.name)
+            coerce(F.element_at(col("document"), F.lit(spec.name)), spec.kind, declared=spec.data_type).alias(spec.name)
             for spec in schema.fields
         ],
     )

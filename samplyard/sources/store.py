@@ -60,9 +60,10 @@ def append_rows(df: DataFrame, path: str, mode: str = "append", partitioned: boo
 def insert_rows(spark: SparkSession, rows: list[Mapping[str, Any]], schema: SchemaSpec, path: str) -> None:
     """Append a few literal rows; the types come from the schema, not from the values."""
     lines = spark.createDataFrame([(json.dumps(dict(r), default=str),) for r in rows], "value string")
-    fields = ", ".join(f"`{n}` string" for n in schema.names)
+    nested = {f.name: f.data_type.simpleString() for f in schema.fields if f.kind in ("record", "array")}
+    fields = ", ".join(f"`{n}` {nested.get(n, 'string')}" for n in schema.names)
     parsed = lines.select(F.from_json("value", fields).alias("row")).select("row.*")
-    coerce_types(parsed, schema).write.mode("append").parquet(path)
+    append_rows(coerce_types(parsed, schema), path, partitioned="created_at" in schema.names)
 
 
 def load_samples(df: DataFrame, cleaned_by, path: str, mode: str = "append") -> dict[str, int]:
@@ -82,13 +83,15 @@ def rewrite_touched(spark: SparkSession, path: str, ids: DataFrame, change, key:
     """Apply ``change`` (DataFrame -> DataFrame) to the partitions that hold any of the ids."""
     table = spark.read.parquet(path)
     hit = keyed_join(table.select(col(key), col(PARTITION)), ids.select(col(key)).distinct(), key, "left_semi")
-    days = hit.select(PARTITION).distinct()
-    touched = table.join(days, PARTITION, "left_semi").select(*cols(table.columns))
+    days = hit.select(col(PARTITION).alias("__day")).distinct()
+    # Rows without a creation day are a folder of their own, and equal to each other here.
+    touched = table.join(days, table[PARTITION].eqNullSafe(days["__day"]), "left_semi").select(*cols(table.columns))
     staged = work_path(spark, "update")
-    change(touched).write.partitionBy(PARTITION).parquet(staged)
+    change(touched).hint("rebalance", PARTITION).write.partitionBy(PARTITION).parquet(staged)
     (
         spark.read.schema(table.schema)
         .parquet(staged)
+        .hint("rebalance", PARTITION)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)

@@ -27,15 +27,16 @@ def windowed_counts(df: DataFrame, time: str, keys: list[str], length: str = "1
     )
 
 
-def hourly_counts(stream: DataFrame, time: str, keys: list[str], late: str = "1 hour") -> DataFrame:
+def hourly_counts(stream: DataFrame, time: str, keys: list[str], late: str) -> DataFrame:
+    """Rows that arrive more than ``late`` behind the newest one are dropped: see :func:`dropped_rows`."""
     return windowed_counts(stream.withWatermark(time, late), time, keys)
 
 
-def sliding_counts(stream: DataFrame, time: str, keys: list[str], late: str = "1 hour") -> DataFrame:
+def sliding_counts(stream: DataFrame, time: str, keys: list[str], late: str) -> DataFrame:
     return windowed_counts(stream.withWatermark(time, late), time, keys, "4 hours", "1 hour")
 
 
-def without_repeats(stream: DataFrame, time: str, identifier: str, late: str = "1 day") -> DataFrame:
+def without_repeats(stream: DataFrame, time: str, identifier: str, late: str) -> DataFrame:
     """Drop repeats of an identifier that arrive within the watermark."""
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([identifier])
 
@@ -55,6 +56,13 @@ def lifecycle(stream: DataFrame, key: str = "id") -> DataFrame:
     )
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows the recent micro-batches of a query dropped because they were later than its bound."""
+    return sum(
+        state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators
+    )
+
+
 def start_updates(counts: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Write every refreshed group to files, one folder per micro-batch (safe to repeat)."""
     def write(batch: DataFrame, number: int) -> None:

@@ -49,7 +49,7 @@ def test_copy_reports_failures_and_only_successes_are_rewritten(sequences, tmp_p
         (tmp_path / "src" / name).write_bytes(name.encode() * 1000)
     manifest = filejobs.copy_manifest(sequences, ["read1", "read2"], "gs://dst/in", True)
     mounts = {"gs://src/": str(tmp_path / "src"), "gs://dst/": str(tmp_path / "dst")}
-    results = filejobs.copy_files(manifest, mounts).checkpoint()
+    results = filejobs.copy_files(manifest, mounts)
     assert values(results.filter("success"), "source") == ["gs://src/p/a.gz", "gs://src/p/a2.gz", "gs://src/q/a.gz"]
     assert "FileNotFound" in results.filter("NOT success").first()["error"]
     assert (tmp_path / "dst/in/q/a.gz").read_bytes() == b"q/a.gz" * 1000
@@ -253,3 +253,45 @@ fields:
     flow = ingest.single_table_flow(marked, given, "sample_id", "today", now)
     assert table(flow["sets"]) == [("c1", "lab_20240304_050607", 2)]
     assert set(values(flow["samples"], "submission_id")) == {"sub9"} and set(values(flow["samples"], "workflow_state")) == {"Submitted"}
+
+
+def test_rows_without_a_creation_day_are_updated_too(spark, frame, tmp_path):
+    path = str(tmp_path / "samples")
+    rows = [("a", "old", at("2024-01-01")), ("b", "old", None), ("c", "old", None)]
+    store.append_rows(frame("id string, state string, created_at timestamp_ntz", rows), path)
+    records = frame("id string, position bigint, changes map<string,string>", [("a", 0, {"state": "new"}), ("b", 1, {"state": "new"})])
+    store.rewrite_touched(spark, path, records, lambda t: update.apply_records(t, records, SCHEMA, "2024-02-02 00:00:00", fields=["state"]))
+    spark.catalog.refreshByPath(path)
+    assert table(spark.read.parquet(path).select("id", "state")) == [("a", "new"), ("b", "new"), ("c", "old")]
+
+
+def test_literal_rows_are_seen_in_a_partitioned_table(spark, frame, tmp_path):
+    path = str(tmp_path / "samples")
+    store.append_rows(spark.createDataFrame([], SCHEMA.struct).unionByName(frame("id string, created_at timestamp_ntz", [("a", at("2024-01-01"))]), allowMissingColumns=True), path)
+    store.insert_rows(spark, [{"id": "b", "created_at": "2024-01-02 00:00:00"}, {"id": "c"}], SCHEMA, path)
+    assert values(spark.read.parquet(path), "id") == ["a", "b", "c"]
+
+
+def test_nested_fields_keep_their_types(spark, tmp_path):
+    schema = SchemaSpec.from_yaml("""
+fields:
+  id: {type: string}
+  tags: {type: array, items: {type: string}}
+  place: {type: record, fields: {row: {type: integer}}}
+""")
+    store.insert_rows(spark, [{"id": "1", "tags": ["x", "y"], "place": {"row": 3}}, {"id": "2"}], schema, str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert dict(df.dtypes) == {"id": "string", "tags": "array<string>", "place": "struct<row:bigint>"}
+    assert [(r["tags"], r["place"] and r["place"]["row"]) for r in df.orderBy("id").collect()] == [(["x", "y"], 3), (None, None)]
+
+
+def test_copies_run_once_however_often_the_results_are_read(frame, tmp_path):
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src/a").write_bytes(b"first")
+    rows = frame("x string, y string", [("gs://src/a", "gs://src/a")])
+    mounts = {"gs://src/": str(tmp_path / "src"), "gs://dst/": str(tmp_path / "dst")}
+    results = filejobs.copy_files(filejobs.copy_manifest(rows, ["x", "y"], "gs://dst"), mounts)
+    (tmp_path / "src/a").write_bytes(b"second")
+    done = filejobs.rewrite_copied(rows, ["x", "y"], results)
+    assert table(done) == [("gs://dst/a", "gs://dst/a")]
+    assert (tmp_path / "dst/a").read_bytes() == b"first"

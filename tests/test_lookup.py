@@ -146,3 +146,31 @@ def test_uri_without_key_fails(frame):
     assert table(summary.uri_inventory(good, ["a", "b"])) == [("a", "x", "y/z"), ("b", "x", "y/z")]
     with pytest.raises(Exception, match="without a key"):
         summary.uri_inventory(frame("a string", [("gs://bucket",)]), ["a"]).collect()
+
+
+def test_stored_tables_are_read_by_day(spark, frame, tmp_path):
+    from samplyard.sources import store
+
+    ddl = "id string, created_at timestamp_ntz, uploaded_at timestamp_ntz, submitted_at timestamp_ntz, submission_id string, workflow_id string, workflow_state string, config_id string"
+    rows = [(f"i{n}", at(f"2024-03-{n + 1:02}T06:00:00"), None, None, "s", "w", "Running", "c") for n in range(20)]
+    path = str(tmp_path / "samples")
+    store.append_rows(frame(ddl, [*rows, ("none", None, None, None, "s", "w", "Running", "c")]), path)
+    stored = spark.read.parquet(path)
+    today = "2024-03-10 12:00:00"
+    for df, wanted in (
+        (lookup.created_today(stored, today), ["i9"]),
+        (lookup.recent_hours(stored, 30, as_of=today), [f"i{n}" for n in range(8, 20)]),
+        (lookup.samples_in(stored, "custom", today, start="2024-03-02", end="2024-03-04 06:00:00"), ["i1", "i2", "i3"]),
+        (lookup.incomplete_workflows(stored, today, 2), [f"i{n}" for n in range(8, 20)]),
+    ):
+        assert values(df, "id") == sorted(wanted)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "created_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_text_with_an_at_sign_is_left_alone(frame):
+    df = frame("mail string, n bigint", [("x@lab.org", 1), ("y@lab.org", 2), (":n", 3)])
+    pick = lambda *conditions, **given: values(lookup.query_samples(df, conditions, given, order_by=None), "n")
+    assert pick("mail = 'x@lab.org'") == [1]
+    assert pick("mail = 'x@lab.org' AND n < @n", n=2) == [1]
+    assert pick("mail = ':n' OR n = :n", n=1, lab="unused") == [1, 3]

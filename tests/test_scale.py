@@ -76,7 +76,7 @@ def test_running_totals_with_a_hot_group(spark):
         F.xxhash64("id").cast("string").alias("name"),
         F.when(F.col("id") % 11 > 0, F.col("id") % 100).alias("size"),
     )
-    got = {(r["g"], r["name"]): (r["position"], r["offset"]) for r in ordering.running_totals(rows, ["g"], ["name"], "size", 100, 16).collect()}
+    got = {(r["g"], r["name"]): (r["position"], r["offset"]) for r in ordering.running_totals(rows, ["g"], ["name"], "size", 16).collect()}
     place, total, wanted = Counter(), Counter(), {}
     for r in sorted(rows.collect(), key=lambda r: (r["g"], r["name"])):
         place[r["g"]] += 1
@@ -87,7 +87,7 @@ def test_running_totals_with_a_hot_group(spark):
 
 def test_running_totals_split_the_hot_group(spark):
     rows = spark.range(50_000).select(F.lit("one").alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("name"), F.lit(1).alias("size"))
-    plan = ordering.running_totals(rows, ["g"], ["name"], "size", 100, 8)
+    plan = ordering.running_totals(rows, ["g"], ["name"], "size", 8)
     assert plan.agg(F.max("position"), F.max("offset")).first() == (50_000, 49_999)
 
 
@@ -124,3 +124,14 @@ def test_scans_read_only_what_is_used(spark):
     assert "o_totalprice" not in scan("tf_month") and "text" not in scan("select_ids")
     plan = entry.queries()["tf_month"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_rows_of_one_load_and_config_get_many_salts(spark):
+    """Times are equal in all rows of a load; only text tells them apart."""
+    rows = spark.range(20_000).select(
+        F.lit("c1").alias("config_id"), F.lit(None).cast("string").alias("sample_id"), F.concat(F.lit("i"), "id").alias("id"),
+        *[F.lit("2024-01-01").cast("timestamp_ntz").alias(n) for n in ("created_at", "updated_at", "uploaded_at")],
+    )
+    salt = F.pmod(F.xxhash64(*joins.spread_columns(rows, ["config_id"])), F.lit(64))
+    assert rows.select(salt).distinct().count() == 64
+    assert joins._with_hash(rows, ["sample_id"], True).select(joins.HASH).distinct().count() == 20_000

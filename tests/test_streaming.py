@@ -67,7 +67,7 @@ def test_repeats_inside_the_watermark_are_dropped(spark, frame, tmp_path):
     land(frame, tmp_path / "in", "p", [("a", at("2024-01-01")), ("a", at("2024-01-01T01:00")), ("b", at("2024-01-01"))], ddl)
     stream = spark.readStream.schema(ddl).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
     query = (
-        windows.without_repeats(windows.event_time(stream, "ts"), "ts", "sid")
+        windows.without_repeats(windows.event_time(stream, "ts"), "ts", "sid", "1 day")
         .writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "log"))
         .trigger(availableNow=True).start()
     )
@@ -84,3 +84,14 @@ def test_life_cycle(spark, frame, tmp_path):
     windows.start_updates(windows.lifecycle(stream), str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
     got = windows.latest_state(spark.read.parquet(str(tmp_path / "out")), ["id"])
     assert table(got.select("id", "stage")) == [("a", "uploaded"), ("b", "created"), ("c", "submitted")]
+
+
+def test_rows_later_than_the_bound_are_counted(spark, frame, tmp_path):
+    ddl = "kind string, ts timestamp_ntz"
+    for number, hour in enumerate((20, 1, 22, 2)):
+        land(frame, tmp_path / "in", f"p{number}", [("x", at(f"2024-01-01T{hour:02}:00:00"))], ddl)
+        stream = spark.readStream.schema(ddl).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+        counts = windows.hourly_counts(windows.event_time(stream, "ts"), "ts", ["kind"], "1 hour")
+        query = windows.start_updates(counts, str(tmp_path / "out"), str(tmp_path / "log"))
+        query.awaitTermination()
+        assert windows.dropped_rows(query) == (1 if number in (1, 3) else 0)

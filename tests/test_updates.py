@@ -154,3 +154,10 @@ def test_config_flags(configs, frame):
     assert [r["active"] for r in off] == [False, False, True]
     assert [r["updated_at"] for r in off] == [at(NOW), None, None]
     assert [r["id"] for r in update.delete_ids(configs, frame("id string", [("1",), (None,)])).orderBy("id").collect()] == ["2", "3"]
+
+
+def test_a_repeated_id_updates_one_row_once(frame):
+    samples = frame("id string, submitted_at timestamp_ntz, submission_id string, workflow_state string", [("a", None, None, None), ("b", None, None, None)])
+    ids = frame("id string, submission_id string", [("a", "s2"), ("a", "s1"), ("a", "s1"), (None, "s9")])
+    got = update.mark_submitted(samples, ids, "2024-01-01 00:00:00")
+    assert sorted((r["id"], r["submission_id"]) for r in got.collect()) == [("a", "s1"), ("b", None)]
