@@ -2,7 +2,7 @@
 
 A document's token ids are counted in hashed buckets; the unit vector of the damped counts is
 projected to a few dimensions and these are cut into cells whose Hilbert key orders the documents.
-Rows are range-sorted by that key (then doc_id and ids, so many copies of one text spread over
+Rows are range-sorted by that key (then doc_id and a hash of the ids, so many copies of one text spread over
 tasks) and neighbouring documents are packed into sequences one after the other, cut where a
 sequence is full. The rest of a task's stream is cut into powers of two, which need no padding.
 """
@@ -233,5 +233,6 @@ def pack(docs: DataFrame, path: str, length: int = 2048) -> DataFrame:
             yield flush()
 
     rows = staged(encoded(docs, path), "ids")
-    ordered = rows.repartitionByRange("key", "doc_id", "ids").sortWithinPartitions("key", "doc_id", "ids")
-    return ordered.mapInArrow(run, PIECES)
+    # The sample that sets the ranges goes to the driver: its columns are numbers, not ids.
+    order = ["key", "doc_id", F.xxhash64("ids")]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, PIECES)
