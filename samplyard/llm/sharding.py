@@ -28,10 +28,12 @@ ATOM_DIGITS = 4
 def atom_table(rows: DataFrame, shards: int) -> DataFrame:
     """``atom``, ``shard`` and ``before`` (rows of earlier atoms in the shard) for every atom.
 
-    Works on one row that holds the sorted list of atoms, 16 ** ATOM_DIGITS entries at most.
+    Works on one row that holds the sorted list of atoms, 16 ** ATOM_DIGITS entries at most. Each step
+    is written before the next one uses it: merged into the next step's lambdas, it would be computed
+    again for every atom.
     """
     sizes = rows.groupBy("atom").agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
-    listed = sizes.agg(F.array_sort(F.collect_list(F.struct("atom", "size", "rows"))).alias("atoms"))
+    listed = staged(sizes.agg(F.array_sort(F.collect_list(F.struct("atom", "size", "rows"))).alias("atoms")), "atoms")
     # The share above which an atom is alone: largest first, while it exceeds the mean of the rest.
     alone = listed.withColumn("largest", F.expr(f"slice(reverse(array_sort(transform(atoms, a -> a.size))), 1, {shards})"))
     alone = alone.withColumn(
@@ -44,6 +46,7 @@ def atom_table(rows: DataFrame, shards: int) -> DataFrame:
                     named_struct('left', s.left, 'alone', s.alone, 'go', false)))"""
         ),
     )
+    alone = staged(alone.select("atoms", "state"), "alone")
     # Ties with the last large atom are settled by the atom's name, so exactly state.alone are taken.
     split = alone.selectExpr(
         "state.alone AS alone",
@@ -51,7 +54,8 @@ def atom_table(rows: DataFrame, shards: int) -> DataFrame:
         "slice(array_sort(atoms, (a, b) -> CASE WHEN a.size > b.size THEN -1 WHEN a.size < b.size THEN 1"
         " WHEN a.atom < b.atom THEN -1 WHEN a.atom > b.atom THEN 1 ELSE 0 END), 1, state.alone) AS big",
         "atoms",
-    ).selectExpr("alone", "total", "big", "filter(atoms, a -> not exists(big, b -> b.atom = a.atom)) AS rest")
+    )
+    split = staged(split, "big").selectExpr("alone", "total", "big", "filter(atoms, a -> not exists(big, b -> b.atom = a.atom)) AS rest")
     split = split.withColumn("room", F.lit(shards) - F.col("alone"))
     fits = """aggregate(rest, named_struct('n', 1, 'fill', 0L),
         (f, a) -> if(f.fill + a.size <= {c}, named_struct('n', f.n, 'fill', f.fill + a.size),
@@ -69,7 +73,7 @@ def atom_table(rows: DataFrame, shards: int) -> DataFrame:
                     named_struct('lo', shiftright(s.lo + s.hi, 1) + 1L, 'hi', s.hi))), s -> s.lo)"""
         ),
     )
-    cut = searched.withColumn(
+    cut = staged(searched, "capacity").withColumn(
         "cuts",
         F.expr(
             """aggregate(rest, named_struct('fill', 0L, 'cuts', cast(array() AS array<string>)),
@@ -77,7 +81,7 @@ def atom_table(rows: DataFrame, shards: int) -> DataFrame:
                     named_struct('fill', a.size, 'cuts', array_append(s.cuts, a.atom))), s -> s.cuts)"""
         ),
     )
-    placed = cut.selectExpr(
+    placed = staged(cut, "cuts").selectExpr(
         "inline(concat("
         " transform(big, (b, i) -> named_struct('atom', b.atom, 'rows', b.rows, 'shard', i)),"
         " transform(rest, a -> named_struct('atom', a.atom, 'rows', a.rows,"
