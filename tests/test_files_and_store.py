@@ -295,3 +295,39 @@ def test_copies_run_once_however_often_the_results_are_read(frame, tmp_path):
     done = filejobs.rewrite_copied(rows, ["x", "y"], results)
     assert table(done) == [("gs://dst/a", "gs://dst/a")]
     assert (tmp_path / "dst/a").read_bytes() == b"first"
+
+
+def test_stored_update_reports_every_record(spark, frame, tmp_path):
+    schema = SchemaSpec.from_yaml("""
+fields:
+  id: {type: string, primary_key: true}
+  lab: {type: string}
+  created_at: {type: datetime}
+  updated_at: {type: datetime}
+""")
+    path, day = str(tmp_path / "t"), at("2024-03-04T05:06:07")
+    ddl = "id string, lab string, created_at timestamp_ntz, updated_at timestamp_ntz"
+    store.append_rows(frame(ddl, [("a", "x", day, None), ("b", "x", None, None), ("c", "x", at("2024-04-01"), None)]), path)
+    ups = frame("id string, position bigint, changes map<string,string>", [
+        ("a", 0, {"lab": "one", "created_at": "2030-01-01"}), ("a", 1, {"lab": "two"}), ("b", 2, {"lab": "three"}),
+        ("zz", 3, {"lab": "lost"}), (None, 4, {"lab": "lost"}), ("c", 5, {"lab": None}),
+    ])
+    counts = store.update_rows(spark, path, ups, schema, "2024-05-06 00:00:00")
+    got = {r["id"]: (r["lab"], r["created_at"]) for r in spark.read.parquet(path).collect()}
+    assert got == {"a": ("one", day), "b": ("three", None), "c": ("x", at("2024-04-01"))}
+    assert table(counts.select("applied", "unmatched", "rejected")) == [(3, 1, 2)]
+    assert update.accounting(frame(ddl, []), ups, schema).first()["applied"] == 0
+
+
+def test_configs_without_required_fields_are_refused(spark, frame, tmp_path):
+    schema = SchemaSpec.from_yaml("""
+fields:
+  id: {type: string, required: true, primary_key: true}
+  lab: {type: string, required: true}
+  settings: {type: JSON}
+""")
+    path = str(tmp_path / "configs")
+    df = frame("id string, lab string, settings map<string,int>", [("c1", "Kiel", {"k": 1}), (None, "Ulm", None), ("c3", None, None)])
+    assert ingest.load_configs(df, schema, path) == {"loaded": 2, "filtered": 1}
+    assert ingest.load_configs(df.limit(0), schema, path) == {"loaded": 0, "filtered": 0}
+    assert values(spark.read.parquet(path), "lab") == ["Kiel", "Ulm"]

@@ -15,26 +15,21 @@ def one(spark, text, fn):
     return spark.createDataFrame([(text,)], "t string").select(fn(F.col("t"))).first()[0]
 
 
-@pytest.mark.parametrize("name, side", [
-    ("Sample_S1_L001_R1_001.fastq.gz", "R1"), ("Sample-R2.fastq.gz", "R2"), ("sample_r1.FASTQ.GZ", "R1"),
-    ("Sample_S1_L001_I1_001.fastq.gz", None), ("random_file.txt", None), ("SampleR1.fastq.gz", None), ("a_R1.fastq", None),
-])
-def test_read_side(spark, name, side):
-    assert one(spark, name, names.read_side) == side
-
-
-@pytest.mark.parametrize("name, bare", [
-    ("NA1200-3_4_L001", "NA1200-3_4"),
-    ("sample_L0001_S1_L001_R1_001.fastq.gz", "sample_L0001_S1_R1_001.fastq.gz"),
-    ("CA-2024-001_L1_extra", "CA-2024-001_L1_extra"),
-    ("SampleL001", "SampleL001"),
-    ("x-l01", "x"),
-    ("a_L1-R2.fastq.gz", "a-R2.fastq.gz"),
-    ("a_L1_R1_L2_R2.fastq.gz", "a_R1_L2_R2.fastq.gz"),
-    ("a_L1_L2", "a_L1"),
-])
-def test_lane_strip(spark, name, bare):
-    assert one(spark, name, names.strip_lane) == bare
+def test_read_side(spark, frame):
+    sided = [(f"pond{sep}{mark}{n}{tail}", f"R{n}") for sep in "_-" for mark in "rR" for n in (1, 2) for tail in (".fastq.gz", "_x.FastQ.gz")]
+    plain = [(name, None) for name in ("pond_I2.fastq.gz", "pondR2.fastq.gz", "pond_R1.fastq", "pond_R1.bam", "", "pond_R3.fastq.gz")]
+    both = [("pond_R2_R1.fastq.gz", "R1")]
+    df = frame("name string, side string", sided + plain + both)
+    assert df.filter(~names.read_side(F.col("name")).eqNullSafe(F.col("side"))).count() == 0
+
+
+def test_lane_strip(spark, frame):
+    lanes, tails = ("_L3", "-l12", "_L004"), ("", "_R1.fastq.gz", "-r2_part.fq")
+    rows = [(stem + lane + tail, stem + tail) for stem in ("pond", "W-7", "a_b") for lane in lanes for tail in tails]
+    rows += [(name, name) for name in ("pond_L0004", "pondL4", "pond_L4_tail", "pond_Lx_R1.fq", "")]
+    rows += [("pond_L5_L6", "pond_L5"), ("pond_L5_R2_L6_R1.fq", "pond_R2_L6_R1.fq")]  # one token goes, where a read or the end follows
+    df = frame("name string, bare string", rows)
+    assert df.filter(names.strip_lane(F.col("name")) != F.col("bare")).count() == 0
 
 
 def match(frame, sample, rows, **options):
@@ -44,30 +39,30 @@ def match(frame, sample, rows, **options):
     return found[0][0], [i for _, i in found if i]
 
 
-LANES = [(f"d{n}", f"NA12878-3_4_L00{n}", at("2026-08-10")) for n in range(1, 5)]
+LANES = [(f"lane{n}", f"pond-9_L{n}", at("2023-03-01")) for n in (8, 2, 5)]
 
 
 def test_lane_siblings_need_permission(frame):
-    assert match(frame, " NA12878-3_4 ", LANES, group_by_lane=True) == ("lanes", ["d1", "d2", "d3", "d4"])
-    assert match(frame, "NA12878-3_4", LANES) == ("partial", [])
-    assert match(frame, "unknown", LANES, group_by_lane=True) == ("missing", [])
+    assert match(frame, "pond-9", LANES) == ("partial", [])
+    assert match(frame, "\tpond-9", LANES, group_by_lane=True) == ("lanes", ["lane2", "lane5", "lane8"])
+    assert match(frame, "lake", LANES, group_by_lane=True) == ("missing", [])
 
 
 def test_exact_name_beats_siblings(frame):
-    rows = [*LANES, ("x", "NA12878-3_4", at("2020-01-01"))]
-    assert match(frame, "NA12878-3_4", rows, group_by_lane=True) == ("exact", ["x"])
-    assert match(frame, "NA12878-3_4_L001", rows) == ("exact", ["d1"])
+    rows = [("whole", "pond-9", at("2019-07-07")), *LANES]
+    assert match(frame, "pond-9", rows, group_by_lane=True) == ("exact", ["whole"])
+    assert match(frame, "pond-9_L5", rows) == ("exact", ["lane5"])
 
 
 def test_repeats_and_ties(frame):
-    two = [("old", "sampleA", at("2026-08-10")), ("new", "sampleA", at("2026-08-12"))]
-    assert match(frame, "sampleA", two) == ("duplicate", [])
-    assert match(frame, "sampleA", two, use_latest=True) == ("exact", ["new"])
-    tie = [*two, ("twin", "sampleA", at("2026-08-12"))]
-    assert match(frame, "sampleA", tie, use_latest=True) == ("tie", [])
-    lanes = [("a", "s_L001", at("2026-08-10")), ("b", "s_L001", at("2026-08-12")), ("c", "s_L002", at("2026-08-01")), ("d", "s_L003", at("2026-08-02"))]
-    assert match(frame, "s", lanes, group_by_lane=True, use_latest=True) == ("lanes", ["b", "c", "d"])
-    assert match(frame, "s", lanes, group_by_lane=True) == ("duplicate", [])
+    spring, summer = at("2023-04-02T08:00"), at("2023-07-30T17:45")
+    twice = [("p2", "pond", summer), ("p1", "pond", spring)]
+    assert match(frame, "pond", twice) == ("duplicate", [])
+    assert match(frame, "pond", twice, use_latest=True) == ("exact", ["p2"])
+    assert match(frame, "pond", [*twice, ("p3", "pond", summer)], use_latest=True) == ("tie", [])
+    lanes = [("e1", "lake_L1", summer), ("e0", "lake_L1", spring), ("e2", "lake_L2", spring)]
+    assert match(frame, "lake", lanes, group_by_lane=True) == ("duplicate", [])
+    assert match(frame, "lake", lanes, group_by_lane=True, use_latest=True) == ("lanes", ["e1", "e2"])
 
 
 def test_one_dataset_can_serve_two_requests(frame):
@@ -189,12 +184,12 @@ def test_fetch_plan(frame):
 
 # ---- paths ---------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("path, bucket, key", [
-    ("gs://some-bucket/path/to/file.txt", "some-bucket", "path/to/file.txt"), ("gs://some-bucket", "some-bucket", ""),
-    ("/local/file", None, None), (None, None, None),
-])
-def test_path_split(spark, path, bucket, key):
-    assert (one(spark, path, paths.bucket_of), one(spark, path, paths.key_of)) == (bucket, key)
+def test_path_split(spark):
+    for bucket, key in (("vault", ""), ("vault", "w7.fq"), ("vault-2", "in/2024/w 7.fq")):
+        path = f"gs://{bucket}/{key}" if key else f"gs://{bucket}"
+        assert (one(spark, path, paths.bucket_of), one(spark, path, paths.key_of)) == (bucket, key)
+    for path in ("in/w7.fq", "", None):
+        assert (one(spark, path, paths.bucket_of), one(spark, path, paths.key_of)) == (None, None)
 
 
 @pytest.mark.parametrize("path, target, keep, wanted", [

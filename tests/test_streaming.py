@@ -95,3 +95,12 @@ def test_rows_later_than_the_bound_are_counted(spark, frame, tmp_path):
         query = windows.start_updates(counts, str(tmp_path / "out"), str(tmp_path / "log"))
         query.awaitTermination()
         assert windows.dropped_rows(query) == (1 if number in (1, 3) else 0)
+
+
+def test_streamed_ingest_knows_rows_loaded_otherwise(spark, frame, tmp_path):
+    loaded = frame("sample_id string, other string", [("a", "x"), (None, "y")])
+    for number, rows in enumerate([[("a", "f"), ("b", "f")], [("a", "f"), ("c", "f"), ("b", "f")]]):
+        land(frame, tmp_path / "in", f"p{number}", rows)
+        stream = spark.readStream.schema(DDL).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+        ingest.start_ingest(stream, SCHEMA, str(tmp_path / "out"), str(tmp_path / "log"), known=lambda: loaded, as_of=NOW).awaitTermination()
+    assert values(ingest.read_table(spark, str(tmp_path / "out"), SCHEMA), "sample_id") == ["b", "c"]

@@ -3,52 +3,51 @@ from conftest import table, values
 
 from samplyard.operators import search, tables
 
-P, S, M = "entity:sample_id", "entity:sample_metadata_id", "entity:sample_master_id"
+P, S, M = "entity:tube_id", "entity:assay_id", "entity:report_id"
 
 
 @pytest.fixture
 def primary(frame):
-    return frame(f"`{P}` string, attribute1 string, attribute2 int", [(f"sample{n}", f"value{n}", n) for n in range(1, 5)])
+    return frame(f"`{P}` string, river string, depth int", [("t9", "Isar", 1), ("t2", "Oder", 5), ("t4", None, 9), ("t1", "Elbe", 3)])
 
 
 @pytest.fixture
 def secondary(frame):
-    rows = [("sample1", "meta1", 10), ("sample2", "meta2", 20), ("sample5", "meta5", 50), ("sample6", "meta6", 60), (None, "x", 0)]
-    return frame(f"`{S}` string, attribute3 string, attribute4 int", rows)
+    return frame(f"score int, `{S}` string, lab string", [(55, "t8", "Ulm"), (None, "t1", "Bonn"), (0, None, "Trier"), (70, "t2", "Kiel")])
 
 
 @pytest.fixture
 def master(frame):
-    return frame(f"`{M}` string, attribute1 string", [("sample1", "v"), ("sample7", "v"), (None, "v")])
+    return frame(f"`{M}` string, river string", [(None, "Main"), ("t1", "Elbe"), ("t5", "Lech")])
 
 
 def test_merge_appends_only_new_rows(primary, secondary, master):
     got = tables.merge_into_master(primary, secondary, master, P, S, M)
-    assert got.columns == [M, "attribute1", "attribute2", "attribute3", "attribute4"]
-    assert table(got) == [("sample2", "value2", 2, "meta2", 20)]
+    assert got.columns == [M, "river", "depth", "score", "lab"]
+    assert table(got) == [("t2", "Oder", 5, 70, "Kiel")]
 
 
 def test_merge_without_master(primary, secondary):
-    assert values(tables.merge_into_master(primary, secondary, None, P, S, M)) == ["sample1", "sample2"]
+    assert values(tables.merge_into_master(primary, secondary, None, P, S, M)) == ["t1", "t2"]
 
 
 def test_merge_with_nothing_in_common_or_all_known(primary, secondary, master, frame):
-    other = frame(f"`{S}` string, a string", [("none", "x")])
-    assert tables.merge_into_master(primary, other, master, P, S, M).count() == 0
-    full = frame(f"`{M}` string", [("sample1",), ("sample2",)])
-    assert tables.merge_into_master(primary, secondary, full, P, S, M).count() == 0
+    strangers = frame(f"`{S}` string, lab string", [("t77", "Jena")])
+    assert tables.merge_into_master(primary, strangers, master, P, S, M).count() == 0
+    reported = frame(f"`{M}` string", [("t2",), ("t1",), ("t3",)])
+    assert tables.merge_into_master(primary, secondary, reported, P, S, M).count() == 0
 
 
 def test_field_lists(primary, secondary):
-    some = tables.merge_tables(primary, secondary, P, S, include=["attribute1", "attribute3", "absent"], exclude=["attribute1"])
-    assert some.columns == [P, "attribute1", "attribute3"]
-    less = tables.merge_tables(primary, secondary, P, S, exclude=["attribute2", "attribute4", P])
-    assert less.columns == [P, "attribute1", "attribute3"]
+    some = tables.merge_tables(primary, secondary, P, S, include=["lab", "depth", "nowhere"], exclude=["depth"])
+    assert some.columns == [P, "depth", "lab"]
+    less = tables.merge_tables(primary, secondary, P, S, exclude=["score", "river", P])
+    assert less.columns == [P, "depth", "lab"]
 
 
 def test_clashing_columns_are_told_apart(primary):
     got = tables.merge_tables(primary, primary.withColumnRenamed(P, S), P, S)
-    assert got.columns == [P, "attribute1_x", "attribute2_x", "attribute1_y", "attribute2_y"]
+    assert got.columns == [P, "river_x", "depth_x", "river_y", "depth_y"]
 
 
 def test_promote(frame):
