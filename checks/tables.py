@@ -135,7 +135,12 @@ def row_search_limit(v):
     return search.row_search(rows, ["ring", "eco"], ["p_name", "p_type"], max_rows=40, order=["p_partkey"])
 
 
-@case("row_search_random")
+FOUND_AT_RANDOM = """
+SELECT * FROM (SELECT p_partkey, p_name, p_type FROM part WHERE lower(p_name) LIKE '%{term}%' OR lower(p_type) LIKE '%{term}%'
+               ORDER BY md5('42|' || cast(p_partkey AS string)), p_partkey LIMIT 40)"""
+
+
+@case("row_search_random", FOUND_AT_RANDOM.format(term="ring") + " UNION " + FOUND_AT_RANDOM.format(term="eco"))
 def row_search_random(v):
     rows = v.part.select("p_partkey", "p_name", "p_type")
     return search.row_search(rows, ["ring", "eco"], max_rows=40, randomize=True, order=["p_partkey"])

@@ -175,11 +175,12 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def view(self, name: str) -> DataFrame:
+    def view(self, name: str, **instead: DataFrame) -> DataFrame:
+        """The view over the tables, or over the frames given instead."""
         text = VIEWS[name]
         for literal in ('{"entityType"', '{"key"', "}}'"):
             text = text.replace(literal, literal.replace("{", "{{").replace("}", "}}"))
-        return self.spark.sql(text, **{t: self.table(t) for t in _placeholders(text)})
+        return self.spark.sql(text, **{t: instead.get(t) or self.table(t) for t in _placeholders(text)})
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

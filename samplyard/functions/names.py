@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A lane token stands before the read token or at the end; group 1 is what follows it. Taking
+# Fixed value: which lane tokens go. A lane token stands before the read token or at the end; group 1 is what follows it. Taking
 # the rest of the name along means that only the first token is replaced.
 LANE = r"(?i)[_-]L[0-9]{1,3}([_-]R[12].*|)$"
 
 
+BLANKS = " \t\n\r\x0b\x0c"
+
+
+def trimmed(name: Column) -> Column:
+    """Without white space at either end, tabs and line ends included."""
+    return F.btrim(name, F.lit(BLANKS))
+
+
 def strip_lane(name: Column) -> Column:
     return F.regexp_replace(name, LANE, "$1")
 
 
 def is_read(name: Column, side: int) -> Column:
-    """``_R1`` or ``-R1`` somewhere in a ``.fastq.gz`` name, in any case."""
+    """``_R1`` or ``-R1`` somewhere in a ``.fastq.gz`` name, in any case (fixed values)."""
     text = F.lower(name)
     return text.endswith(".fastq.gz") & (text.contains(f"_r{side}") | text.contains(f"-r{side}"))
 

@@ -56,7 +56,7 @@ def row_search(
 def _head(df: DataFrame, order: Sequence[str] | None, max_rows: int | None, randomize: bool, seed: int) -> DataFrame:
     by = cols(order or hashable(df))
     if randomize:
-        by = [F.xxhash64(F.lit(seed), *by), *by]
+        by = [F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in by])), *by]
     if max_rows is not None:
         return df.orderBy(*by).limit(max_rows)
     return df.orderBy(*by) if randomize else df

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols
-from samplyard.functions.names import is_read, megabyte_text, strip_lane
+from samplyard.functions.names import is_read, megabyte_text, strip_lane, trimmed
 from samplyard.operators.joins import distinct_keys, keyed_join, with_keys
 from samplyard.operators.ordering import running_totals
 
@@ -39,7 +39,7 @@ def resolve_names(requests: DataFrame, items: DataFrame, priority: str | None =
         ]
 
     hits = items.filter(col(name).isNotNull()).groupBy(col(name)).agg(*of_scope("runs"), *of_scope("projects"))
-    wanted = requests.select(F.trim(col(name)).alias(name)).distinct()
+    wanted = requests.select(trimmed(col(name)).alias(name)).distinct()
     found = keyed_join(wanted, hits, name)
     runs, projects = F.coalesce(col("__runs"), F.lit(0)), F.coalesce(col("__projects"), F.lit(0))
     order = ("projects", "runs") if priority == "projects" else ("runs", "projects")
@@ -112,7 +112,7 @@ def match_datasets(
     agree on both sides.
     """
     keys = [*scope, sample]
-    wanted = distinct_keys(requests.select(*cols(scope), F.trim(col(sample)).alias(sample)), keys)
+    wanted = distinct_keys(requests.select(*cols(scope), trimmed(col(sample)).alias(sample)), keys)
     stripped = strip_lane(col("name"))
     # A dataset offers itself under its own name and, if it has a lane, under the bare name.
     offers = F.array_compact(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col
+from samplyard.functions.names import trimmed
 from samplyard.operators import seqfiles
 from samplyard.operators.joins import keyed_join
 
@@ -19,7 +20,7 @@ def resolve_requests(requests: DataFrame, items: DataFrame, priority: str | None
 
     A sample asked for twice in a collection is refused.
     """
-    clean = requests.select(F.trim(col("collection")).alias("collection"), F.trim(col("sample")).alias("sample"))
+    clean = requests.select(trimmed(col("collection")).alias("collection"), trimmed(col("sample")).alias("sample"))
     counted = clean.groupBy("collection", "sample").agg(F.count(F.lit(1)).alias("__asked"))
     names = seqfiles.resolve_names(counted.select(col("collection").alias("name")), items, priority)
     joined = keyed_join(

@@ -12,8 +12,9 @@ from samplyard.functions.columns import col, cols, data_type, hashable
 from samplyard.functions.jsontext import serialise
 from samplyard.functions.names import set_name
 from samplyard.operators import clean, lookup, tables, update
-from samplyard.operators.joins import distinct_keys, keyed_join
+from samplyard.operators.joins import complete, distinct_keys, keyed_join
 from samplyard.schema import SchemaSpec
+from samplyard.sources import store
 
 
 def process_samples(
@@ -97,6 +98,15 @@ def process_configs(df: DataFrame, schema: SchemaSpec, as_of=None) -> DataFrame:
     return clean.coerce_types(prepare_configs(df, schema, as_of), schema)
 
 
+def load_configs(df: DataFrame, schema: SchemaSpec, path: str, as_of=None, mode: str = "append") -> dict[str, int]:
+    """Append configs to the stored table; rows that lack a required field are refused and counted."""
+    def cleaned(raw: DataFrame) -> DataFrame:
+        done = process_configs(raw, schema, as_of)
+        return complete(done, [n for n in schema.required if n in done.columns])
+
+    return store.load_samples(df, cleaned, path, mode)
+
+
 def waiting_for_upload(samples: DataFrame, timeframe: str = "today", as_of=None, **window) -> DataFrame:
     """Samples of the timeframe that are neither uploaded nor submitted."""
     return lookup.samples_in(samples, timeframe, as_of, newest_first=False, **window)

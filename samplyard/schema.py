@@ -212,14 +212,6 @@ class SchemaSpec:
     def date_formats(self) -> dict[str, str]:
         return self._values("date_format")
 
-    @property
-    def prefix_field(self) -> str | None:
-        return self.first_having("use_as_prefix")
-
-    @property
-    def alert_field(self) -> str | None:
-        return self.first_having("display_for_alerts")
-
     def _values(self, attribute: str) -> dict[str, Any]:
         return {
             f.name: f.attributes[attribute] for f in self.fields if f.attributes.get(attribute)

@@ -8,15 +8,16 @@ target of a running job, and a failed overwrite can be repeated from the staged
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols
+from samplyard.operators import update
 from samplyard.operators.clean import coerce_types, complete_columns, prune_columns
-from samplyard.operators.joins import keyed_join
+from samplyard.operators.joins import distinct_keys, keyed_join
 from samplyard.schema import SchemaSpec
 from samplyard.session import work_path
 
@@ -74,7 +75,7 @@ def load_samples(df: DataFrame, cleaned_by, path: str, mode: str = "append") ->
     seen, kept = Observation(), Observation()
     raw = df.observe(seen, F.count(F.lit(1)).alias("n"))
     clean = cleaned_by(raw).observe(kept, F.count(F.lit(1)).alias("n"))
-    append_rows(clean, path, mode)
+    append_rows(clean, path, mode, partitioned="created_at" in clean.columns)
     loaded = kept.get["n"]
     return {"loaded": loaded, "filtered": seen.get["n"] - loaded}
 
@@ -99,6 +100,33 @@ def rewrite_touched(spark: SparkSession, path: str, ids: DataFrame, change, key:
     )
 
 
+def update_rows(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    schema: SchemaSpec,
+    as_of=None,
+    key: str = "id",
+    fields: Sequence[str] | None = None,
+    allow_nulls: bool = False,
+    batch_size: int = 1000,
+) -> DataFrame:
+    """Apply change records to the stored table; returns records applied, unmatched and rejected.
+
+    Only days that hold an updated row are rewritten, rows without a day included. The creation
+    time decides where a row is stored, so no record may change it. ``updates`` is read more than
+    once and should be a stored table or a plain function of one.
+    """
+    fields = [n for n in (fields or schema.names) if n not in (key, "created_at")]
+    ids = distinct_keys(updates, [key])
+    rewrite_touched(
+        spark, path, ids,
+        lambda rows: update.apply_records(rows, updates, schema, as_of, key, fields, allow_nulls, batch_size),
+        key,
+    )
+    return update.accounting(spark.read.parquet(path), updates, schema, key, allow_nulls, batch_size)
+
+
 def conform(df: DataFrame, schema: SchemaSpec) -> DataFrame:
     """Declared columns only, all of them, in order and typed."""
     full = prune_columns(complete_columns(df, schema), schema)

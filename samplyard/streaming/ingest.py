@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,16 +21,29 @@ def read_table(spark: SparkSession, path: str, schema: SchemaSpec, before: int |
     return rows if before is None else rows.filter(F.col(BATCH) < before)
 
 
-def start_ingest(stream: DataFrame, schema: SchemaSpec, path: str, checkpoint: str, available_now: bool = True, **options) -> StreamingQuery:
+def start_ingest(
+    stream: DataFrame,
+    schema: SchemaSpec,
+    path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    known: Callable[[], DataFrame] | None = None,
+    **options,
+) -> StreamingQuery:
     """Append cleaned rows per micro-batch, exactly once.
 
     Every batch owns the partition with its number and compares only with earlier ones, so a
-    batch that is run again after a failure replaces what it had written.
+    batch that is run again after a failure replaces what it had written. ``known`` gives rows that
+    were loaded by other ways, such as the batch-loaded table; it is read anew for every batch.
     """
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        known = read_table(spark, path, schema, number) if number > 0 else None
-        rows = process_samples(batch, schema, known=known, dedupe_within_batch=True, **options)
+        keys = [n for n in (schema.identifier, schema.config_key) if n]
+        seen = [read_table(spark, path, schema, number).select(*keys)] if number > 0 else []
+        if known is not None:
+            seen.append(known().select(*keys))
+        every = reduce(DataFrame.unionByName, seen) if seen else None
+        rows = process_samples(batch, schema, known=every, dedupe_within_batch=True, **options)
         rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={number}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -72,6 +72,12 @@ def start_updates(counts: DataFrame, path: str, checkpoint: str, available_now:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def start_appends(rows: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Append every row to files, exactly once."""
+    writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def latest_state(written: DataFrame, keys: list[str]) -> DataFrame:
     """Newest version of every group from the files of :func:`start_updates`."""
     return first_per_key(written, keys, [col(BATCH)], last=True).drop(BATCH)
