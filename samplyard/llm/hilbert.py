@@ -101,7 +101,9 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         words = set().union(*split)
-        missing = words - self.known.keys()
+        known = self.known
+        # A set less the view of a dict would walk the whole dict.
+        missing = {w for w in words if w not in known}
         if missing:
             before = len(self.known)
             self.learn(missing)
