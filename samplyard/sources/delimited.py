@@ -52,11 +52,18 @@ def read_upload(spark: SparkSession, path: str, table: str | None = None) -> tup
 
 
 def write_entity_table(df: DataFrame, path: str, separator: str = "\t", mode: str = "errorifexists") -> None:
-    """Text files with a header; nulls are empty cells. An empty table is refused by the caller."""
+    """Text files with a header; nulls are empty cells."""
     options = _text_options(separator) | {"emptyValue": "", "nullValue": ""}
     df.write.mode(mode).options(**options).csv(path)
 
 
+def publish_entity_table(df: DataFrame, path: str, separator: str = "\t", mode: str = "errorifexists") -> None:
+    """:func:`write_entity_table` for tables that others read: one without rows is refused unwritten."""
+    if df.isEmpty():
+        raise ValueError(f"nothing to publish to {path}")
+    write_entity_table(df, path, separator, mode)
+
+
 def write_partitioned_sheet(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
     """One folder of comma-separated sheets per collection."""
     options = _text_options(",") | {"emptyValue": "", "nullValue": ""}

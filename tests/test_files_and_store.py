@@ -331,3 +331,12 @@ fields:
     assert ingest.load_configs(df, schema, path) == {"loaded": 2, "filtered": 1}
     assert ingest.load_configs(df.limit(0), schema, path) == {"loaded": 0, "filtered": 0}
     assert values(spark.read.parquet(path), "lab") == ["Kiel", "Ulm"]
+
+
+def test_an_empty_publish_is_refused(spark, frame, tmp_path):
+    df = frame("`entity:w_id` string, lab string", [("A1", "Kiel"), ("A2", None)])
+    with pytest.raises(ValueError, match="nothing to publish"):
+        delimited.publish_entity_table(df.limit(0), str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()
+    delimited.publish_entity_table(df, str(tmp_path / "some"))
+    assert table(delimited.read_entity_table(spark, str(tmp_path / "some"))) == [("A1", "Kiel"), ("A2", None)]
