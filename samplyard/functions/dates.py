@@ -41,6 +41,9 @@ DIRECTIVES = {
 # A zone suffix counts only after a time of day.
 ZONED = r"(?:\d:\d{2}(?::\d{2}(?:\.\d+)?)?|\d{8}T\d{4,6})\s*(Z|[+-]\d{2}(?::?\d{2})?)\s*$"
 
+# Whole text of a time in UTC, whose cast needs no rewriting.
+ISO_UTC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?Z$"
+
 # One pattern for all numeric layouts, and the parts in ISO order: year-month-day
 # hour:minute:second. A date starting with 01..12 is read month first, any other day first. The
 # last branch takes any other text and leaves the parts empty.
@@ -137,7 +140,18 @@ def parse_wall(value: Column, layout: str | None = None) -> Column:
 
 
 def parse_utc(value: Column, layout: str | None = None) -> Column:
-    """Like :func:`parse_wall`, with text that names a zone moved to UTC."""
+    """Like :func:`parse_wall`, with text that names a zone moved to UTC.
+
+    ISO text in UTC, as services write it, is told by its shape and cast as it stands; a layout of
+    the field's own is tried before it.
+    """
+    any_text = _parse_any_utc(value, layout)
+    if layout and "%" in layout:
+        return any_text
+    return F.coalesce(F.when(value.rlike(ISO_UTC), value.try_cast("timestamp_ntz")), any_text)
+
+
+def _parse_any_utc(value: Column, layout: str | None) -> Column:
     zone = F.regexp_extract(value, ZONED, 1)
     tail = F.when(F.length(zone) > 3, F.substring(zone, -2, 2).cast("int")).otherwise(0)
     east = F.substring(zone, 2, 2).cast("int") * 60 + tail

@@ -43,16 +43,23 @@ def _with_hash(df: DataFrame, keys: Sequence[str], spread_nulls: bool) -> DataFr
     return df.withColumn(HASH, digest)
 
 
-def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | str, how: str = "left") -> DataFrame:
+def keyed_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str] | str, how: str = "left", unique: bool = False
+) -> DataFrame:
     """Join on equally named ``keys``; the result keeps the order of the left columns.
 
-    ``right`` should have at most one row per key unless ``how`` is a semi or anti join.
+    ``right`` should have at most one row per key unless ``how`` is a semi or anti join. ``unique``
+    says that ``left`` has so too, and hardly any null keys: there is no hot key to split then, so
+    a side that is already partitioned by the keys isn't shuffled again.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how in ("inner", "left_semi"):
         left = complete(left, keys)
-    spread = how not in ("inner", "left_semi")
-    joined = _with_hash(left, keys, spread).join(_with_hash(right, keys, False), [HASH, *keys], how)
+    if unique:
+        joined = left.join(right, keys, how)
+    else:
+        spread = how not in ("inner", "left_semi")
+        joined = _with_hash(left, keys, spread).join(_with_hash(right, keys, False), [HASH, *keys], how)
     if how in ("left_anti", "left_semi"):
         return joined.select(*cols(left.columns))
     payload = [name for name in right.columns if name not in keys]
@@ -87,7 +94,9 @@ def first_per_key(
     """One whole row per key: the first (or last) in ``order``.
 
     An aggregate rather than a window, so each map task sends one row per key and a hot key is
-    no single task's work; the map tasks sort their rows by key for it. ``order`` should break ties.
+    no single task's work. That is not free: rows with text are combined by sorting, so every map
+    task sorts its rows by key, where a window would sort after the shuffle. ``order`` should break
+    ties.
     """
     payload = [name for name in df.columns if name not in keys]
     pick = F.max_by if last else F.min_by

@@ -229,6 +229,11 @@ def by_entity_names(samples: DataFrame, names: DataFrame, identifier: str, confi
     return with_keys(samples, names, [config_key, identifier])
 
 
+def is_running(workflow: str = "workflow_id", state: str = "workflow_state") -> Column:
+    """A workflow that has not reached a final state."""
+    return filled(col(workflow)) & (is_blank(col(state)) | ~col(state).isin(*FINAL_STATES))
+
+
 def incomplete_workflows(
     samples: DataFrame,
     as_of=None,
@@ -240,8 +245,7 @@ def incomplete_workflows(
 ) -> DataFrame:
     """Samples with a workflow that has not reached a final state; ``limit`` is per config."""
     now = moment(as_of)
-    open_rows = samples.filter(filled(col(workflow)) & (is_blank(col(state)) | ~col(state).isin(*FINAL_STATES)))
-    rows = created_since(open_rows, now - F.make_dt_interval(days=F.lit(days_back)))
+    rows = created_since(samples.filter(is_running(workflow, state)), now - F.make_dt_interval(days=F.lit(days_back)))
     if limit is None:
         return rows
     return top_per_key(rows, [config_key], [col("created_at").desc(), col("id").asc()], limit)

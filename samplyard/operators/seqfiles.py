@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols
@@ -31,6 +31,11 @@ def resolve_names(requests: DataFrame, items: DataFrame, priority: str | None =
     ``items`` has (scope, name, item_id) with scope ``runs`` or ``projects``. A name found in
     both scopes needs a priority; more than one hit in the chosen scope cannot be resolved.
     """
+    return with_resolved(requests.select(trimmed(col(name)).alias(name)).distinct(), items, priority, name)
+
+
+def with_resolved(wanted: DataFrame, items: DataFrame, priority: str | None = None, name: str = "name") -> DataFrame:
+    """Every row of ``wanted`` with the status, scope and item of its collection name."""
     def of_scope(scope: str) -> list[Column]:
         here = col("scope") == scope
         return [
@@ -39,7 +44,6 @@ def resolve_names(requests: DataFrame, items: DataFrame, priority: str | None =
         ]
 
     hits = items.filter(col(name).isNotNull()).groupBy(col(name)).agg(*of_scope("runs"), *of_scope("projects"))
-    wanted = requests.select(trimmed(col(name)).alias(name)).distinct()
     found = keyed_join(wanted, hits, name)
     runs, projects = F.coalesce(col("__runs"), F.lit(0)), F.coalesce(col("__projects"), F.lit(0))
     order = ("projects", "runs") if priority == "projects" else ("runs", "projects")
@@ -54,8 +58,9 @@ def resolve_names(requests: DataFrame, items: DataFrame, priority: str | None =
         .when(hits_in_scope > 1, "duplicate")
         .otherwise("resolved")
     )
-    return found.select(col(name), status.alias("status"), scope.alias("__scope"), "__runs_id", "__projects_id").select(
-        col(name),
+    kept = cols(wanted.columns)
+    return found.select(*kept, status.alias("status"), scope.alias("__scope"), "__runs_id", "__projects_id").select(
+        *kept,
         "status",
         F.when(col("status") == "resolved", col("__scope")).alias("scope"),
         F.when(
@@ -110,6 +115,10 @@ def match_datasets(
     (a name with several datasets) or ``tie`` (its newest ones share a date). A sample that
     cannot be served has one row without dataset. ``scope`` columns, such as a collection, must
     agree on both sides.
+
+    A sample is judged in one window over its names and a row that stands for the request. Copies of
+    a name are one row by then, and there are only as many names of a sample as there are lane
+    tokens, a few thousand at most, so no window holds a hot group.
     """
     keys = [*scope, sample]
     wanted = distinct_keys(requests.select(*cols(scope), trimmed(col(sample)).alias(sample)), keys)
@@ -125,15 +134,19 @@ def match_datasets(
     offered = datasets.select(*cols(scope), *cols(payload), "name", "date_created", F.inline(offers))
     named = latest_per_name(with_keys(offered, wanted, keys), [*keys, "sibling", "name"], payload)
 
-    def any_of(sibling: int, flag: Column) -> Column:
-        return F.bool_or(F.when(col("sibling") == sibling, flag))
+    per_sample = Window.partitionBy(*cols(keys))
 
-    overview = named.groupBy(*cols(keys)).agg(
-        F.min("sibling").alias("best"),
-        any_of(0, col("copies") > 1).alias("exact_dup"),
-        any_of(0, col("tie")).alias("exact_tie"),
-        any_of(1, col("copies") > 1).alias("lane_dup"),
-        any_of(1, col("tie")).alias("lane_tie"),
+    def any_of(sibling: int, flag: Column) -> Column:
+        return F.bool_or(F.when(col("sibling") == sibling, flag)).over(per_sample)
+
+    judged = named.unionByName(wanted, allowMissingColumns=True).withColumns(
+        {
+            "best": F.min("sibling").over(per_sample),
+            "exact_dup": any_of(0, col("copies") > 1),
+            "exact_tie": any_of(0, col("tie")),
+            "lane_dup": any_of(1, col("copies") > 1),
+            "lane_tie": any_of(1, col("tie")),
+        }
     )
     exact = col("best") == 0
     dup = F.when(exact, col("exact_dup")).otherwise(col("lane_dup"))
@@ -143,13 +156,12 @@ def match_datasets(
         status = status.when(~exact, "partial")
     status = status.when(tie, "tie") if use_latest else status.when(dup, "duplicate")
     status = status.when(exact, "exact").otherwise("lanes")
-    judged = keyed_join(wanted, overview, keys).select(*cols(keys), status.alias("status"), "best")
     is_served = col("status").isin("exact", "lanes")
-    served = judged.filter(is_served).select(*cols(keys), col("best").alias("sibling"), "status")
-    rows = keyed_join(named, served, [*keys, "sibling"], "inner").select(
-        *cols(keys), "status", "dataset_id", "name", *cols(carry)
+    stands_for_request = col("sibling").isNull()
+    rows = judged.withColumn("status", status).filter(
+        F.when(is_served, F.coalesce(col("sibling") == col("best"), F.lit(False))).otherwise(stands_for_request)
     )
-    return rows.unionByName(judged.filter(~is_served).select(*cols(keys), "status"), allowMissingColumns=True)
+    return rows.select(*cols(keys), "status", "dataset_id", "name", *cols(carry))
 
 
 def read_counts() -> list[Column]:
@@ -168,9 +180,9 @@ def is_balanced(r1: Column, r2: Column, files: Column) -> Column:
 
 
 def dataset_sheet(datasets: DataFrame, files: DataFrame) -> DataFrame:
-    """One row per dataset with concatenated read sizes and the paired and balanced flags."""
+    """One row per dataset (unique by id) with concatenated read sizes and the paired and balanced flags."""
     counts = files.groupBy("dataset_id").agg(*read_counts())
-    joined = keyed_join(datasets, counts, "dataset_id")
+    joined = keyed_join(datasets, counts, "dataset_id", unique=True)
     number = lambda name: F.coalesce(col(name), F.lit(0))
     return joined.select(
         col("name").alias("dataset_name"),

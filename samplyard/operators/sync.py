@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samplyard.functions.columns import col, is_blank
+from samplyard.functions.columns import col, cols, is_blank
 from samplyard.functions.types import coerce
 from samplyard.operators.joins import complete, first_per_key, keyed_join
-from samplyard.operators.update import CHANGES, POSITION
 from samplyard.schema import SchemaSpec
 
 
@@ -53,7 +54,7 @@ def sync_pairs(
     return keyed_join(samples, first, keys, "inner"), list(feeding)
 
 
-def field_changes(
+def sample_changes(
     samples: DataFrame,
     source: DataFrame,
     schema: SchemaSpec,
@@ -64,36 +65,47 @@ def field_changes(
     key: str = "id",
     **matching,
 ) -> DataFrame:
-    """One row per field to write: (id, identifier, field, value, propagate).
+    """One row per sample with anything to write: (id, identifier, scope.., ``new_<field>`` ..).
 
-    Empty means null or ''. An empty target is filled; a different target is replaced only in
-    overwrite mode; a target is cleared only when nulls may overwrite too, and a clearing is not
-    passed on.
+    A field's column is ``struct(value, propagate)``, null where nothing is written. Empty means
+    null or ''. An empty target is filled; a different target is replaced only in overwrite mode; a
+    target is cleared only when nulls may overwrite too, and a clearing is not passed on.
     """
     paired, compared = sync_pairs(samples, source, schema, fields, identifier, **matching)
-    entries = []
+    changes = {}
     for name in compared:
         new, old = col(f"__source_{name}"), _typed(samples, name, schema.by_name[name].kind)
         write = ~is_blank(new) & is_blank(old)
         if overwrite:
             write = write | (~is_blank(new) & ~old.eqNullSafe(new))
         clear = is_blank(new) & ~is_blank(old) if overwrite and allow_null else F.lit(False)
-        entries.append(
-            F.struct(
-                F.lit(name).alias("field"),
-                F.when(~is_blank(new), new.cast("string")).alias("value"),
-                (write | clear).alias("__write"),
-                (~clear).alias("propagate"),
-            )
-        )
+        value = F.when(~is_blank(new), new.cast("string")).alias("value")
+        changes[f"new_{name}"] = F.when(write | clear, F.struct(value, (~clear).alias("propagate")))
     kept = [n for n in matching.get("scope", ()) if n not in (key, identifier)]
-    rows = paired.select(col(key), col(identifier), *[col(n) for n in kept], F.inline(F.array(*entries)))
-    return rows.filter(col("__write")).drop("__write")
+    rows = paired.select(col(key), col(identifier), *cols(kept), *[c.alias(n) for n, c in changes.items()])
+    return rows.filter(reduce(or_, [col(n).isNotNull() for n in changes], F.lit(False)))
 
 
-def as_records(changes: DataFrame, key: str = "id", carry: Sequence[str] = ()) -> DataFrame:
-    """Change records from field rows; an id has at most one row per synced field."""
-    pairs = F.map_from_entries(F.collect_list(F.struct(col("field"), col("value"))))
-    return changes.groupBy(col(key), *[col(c) for c in carry]).agg(
-        F.lit(0).cast("bigint").alias(POSITION), pairs.alias(CHANGES)
-    )
+def changed_fields(changes: DataFrame) -> list[str]:
+    return [n.removeprefix("new_") for n in changes.columns if n.startswith("new_")]
+
+
+def unfolded(changes: DataFrame) -> DataFrame:
+    """One row per field to write: (id, identifier, scope.., field, value, propagate)."""
+    fields = changed_fields(changes)
+    entries = [
+        F.when(
+            col(f"new_{n}").isNotNull(),
+            F.struct(F.lit(n).alias("field"), col(f"new_{n}")["value"].alias("value"), col(f"new_{n}")["propagate"].alias("propagate")),
+        )
+        for n in fields
+    ]
+    kept = [n for n in changes.columns if not n.startswith("new_")]
+    return changes.select(*cols(kept), F.inline(F.array_compact(F.array(*entries))))
+
+
+def field_changes(
+    samples: DataFrame, source: DataFrame, schema: SchemaSpec, fields: Sequence[str], identifier: str, *args, **options
+) -> DataFrame:
+    """:func:`sample_changes` as one row per field to write."""
+    return unfolded(sample_changes(samples, source, schema, fields, identifier, *args, **options))

@@ -129,6 +129,17 @@ def apply_records(
     return joined.select(*_written(target, schema, fields, stamp, as_of))
 
 
+def apply_settled(
+    target: DataFrame, settled: DataFrame, schema: SchemaSpec, as_of=None, key: str = "id", stamp: str = "updated_at"
+) -> DataFrame:
+    """The target with settled rows written: one per id, a ``struct(value)`` named ``new_<field>`` each."""
+    fields = [n for n in target.columns if n != key and f"new_{n}" in settled.columns]
+    schema.check_fields(fields)
+    side = settled.select(col(key), *[col(f"new_{n}") for n in fields], F.lit(True).alias("__hit"))
+    joined = keyed_join(target, side, key, unique=True)
+    return joined.select(*_written(target, schema, fields, stamp, as_of))
+
+
 def _written(target: DataFrame, schema: SchemaSpec, fields: Sequence[str], stamp: str, as_of) -> list[Column]:
     out = []
     for name in target.columns:

@@ -37,15 +37,19 @@ def attach_workflows(
 
     A workflow without id gives '', one without status ``Unknown``.
     """
+    left = samples.select(col(key), *cols(scope or []), col(identifier))
+    return keyed_join(left, state_by_entity(workflows, identifier, scope), [*(scope or []), identifier], "inner")
+
+
+def state_by_entity(workflows: DataFrame, identifier: str, scope: list[str] | None = None) -> DataFrame:
+    """(scope.., identifier, new workflow id, new state): the last workflow of every entity."""
     last = last_by_entity(workflows, scope).withColumnRenamed("entity_name", identifier)
-    side = last.select(
+    return last.select(
         *cols(scope or []),
         col(identifier),
         F.coalesce(col("workflow_id"), F.lit("")).alias("new_workflow_id"),
         F.coalesce(col("status"), F.lit("Unknown")).alias("new_state"),
     )
-    left = samples.select(col(key), *cols(scope or []), col(identifier))
-    return keyed_join(left, side, [*(scope or []), identifier], "inner")
 
 
 def refresh_states(
@@ -56,19 +60,23 @@ def refresh_states(
     workflow: str = "workflow_id",
 ) -> DataFrame:
     """(id, state) of unfinished samples, looked up by submission and workflow id."""
+    left = incomplete.select(col(key), col(submission), col(workflow))
+    return keyed_join(left, state_by_workflow(workflows, submission, workflow), [submission, workflow], "inner")
+
+
+def state_by_workflow(workflows: DataFrame, submission: str = "submission_id", workflow: str = "workflow_id") -> DataFrame:
+    """(submission, workflow, new state): where a workflow is listed more than once, its first place."""
     listed = workflows.filter(col("workflow_id").isNotNull())
     first = first_per_key(
         listed.select("submission_id", "workflow_id", "position", "status"),
         ["submission_id", "workflow_id"],
         [col("position"), col("status")],
     )
-    side = first.select(
+    return first.select(
         col("submission_id").alias(submission),
         col("workflow_id").alias(workflow),
         F.coalesce(col("status"), F.lit("Unknown")).alias("new_state"),
     )
-    left = incomplete.select(col(key), col(submission), col(workflow))
-    return keyed_join(left, side, [submission, workflow], "inner")
 
 
 def is_unfinished(state: Column) -> Column:

@@ -22,12 +22,7 @@ def resolve_requests(requests: DataFrame, items: DataFrame, priority: str | None
     """
     clean = requests.select(trimmed(col("collection")).alias("collection"), trimmed(col("sample")).alias("sample"))
     counted = clean.groupBy("collection", "sample").agg(F.count(F.lit(1)).alias("__asked"))
-    names = seqfiles.resolve_names(counted.select(col("collection").alias("name")), items, priority)
-    joined = keyed_join(
-        counted,
-        names.select(col("name").alias("collection"), col("status").alias("collection_status"), "item_id"),
-        "collection",
-    )
+    joined = seqfiles.with_resolved(counted, items.withColumnRenamed("name", "collection"), priority, "collection").withColumnRenamed("status", "collection_status")
     problem = F.when(col("__asked") > 1, "requested_twice").when(
         col("collection_status") != "resolved", F.concat(F.lit("collection_"), col("collection_status"))
     )
@@ -61,19 +56,24 @@ def fetch_plan(
         carry=["is_paired_end"],
     )
     group = ["item_id", "sample"]
-    per_dataset = files.groupBy("item_id", "dataset_id").agg(*seqfiles.read_counts())
-    counted = keyed_join(matched, per_dataset, ["item_id", "dataset_id"])
-    overview = counted.groupBy(*group).agg(
-        F.max("status").alias("status"),
-        F.count("dataset_id").alias("datasets"),
-        F.bool_and(F.coalesce(col("is_paired_end"), F.lit(False))).alias("__paired"),
-        *[F.sum(n).alias(n) for n in COUNTS],
-    )
     # A dataset can serve two requests (its own name and its bare name), so requests are the many side.
     served = matched.filter(col("dataset_id").isNotNull()).select("item_id", "dataset_id", "sample")
+    # Only files of served datasets are counted; the store's other files end at this join.
     listed = files.select("item_id", "dataset_id", "file_id", "file_name", "size").join(
         served, ["item_id", "dataset_id"], "inner"
     )
+    judged = matched.select(*group, "status", col("dataset_id").alias("__dataset"), "is_paired_end")
+    paired = F.when(col("status").isNotNull(), F.coalesce(col("is_paired_end"), F.lit(False)))
+    overview = (
+        judged.unionByName(listed.select(*group, "file_name", "size"), allowMissingColumns=True)
+        .groupBy(*group)
+        .agg(
+            F.max("status").alias("status"),
+            F.count("__dataset").alias("datasets"),
+            F.bool_and(paired).alias("__paired"),
+            *seqfiles.read_counts(),
+        )
+    )
     number = {n: F.coalesce(col(n), F.lit(0)) for n in ("datasets", *COUNTS)}
     balanced = seqfiles.is_balanced(number["r1_files"], number["r2_files"], number["files"])
     status = F.when(col("problem").isNotNull(), col("problem")).when(

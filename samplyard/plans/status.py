@@ -7,15 +7,9 @@ from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col
 from samplyard.operators import lookup, update
+from samplyard.operators.clean import moment
 from samplyard.operators.joins import keyed_join
-from samplyard.operators.workflows import attach_workflows, refresh_states
-
-
-def newly_attached(samples: DataFrame, workflows: DataFrame, identifier: str, as_of=None, days_back: int = 30, config_key: str = "config_id") -> DataFrame:
-    """(id, new workflow id, new state) from submissions that still miss workflow ids."""
-    pending = lookup.unique_submissions(samples, as_of, days_back, config_key=config_key)
-    listed = keyed_join(workflows, pending, "submission_id", "inner")
-    return attach_workflows(samples, listed, identifier, [config_key])
+from samplyard.operators.workflows import state_by_entity, state_by_workflow
 
 
 def refresh(
@@ -30,29 +24,32 @@ def refresh(
     """Samples of the given configs after both steps: attach missing ids, then refresh states.
 
     ``workflows`` lists all workflows with their submission, aborted ones included. Only samples
-    that changed are returned, as (id, workflow_id, workflow_state).
+    that changed are returned, as (id, workflow_id, workflow_state). Workflows are joined to the
+    samples themselves, first by entity, then by workflow, so no sample is joined to its own table.
     """
+    low = moment(as_of) - F.make_dt_interval(days=F.lit(days_back))
+    pending = lookup.unique_submissions(samples, as_of, days_back, config_key=config_key)
+    listed = keyed_join(workflows, pending, "submission_id", "inner")
+    attached = state_by_entity(listed, identifier, [config_key])
     ours = keyed_join(
         samples, configs.select(col("id").cast("string").alias(config_key)), config_key, "left_semi"
     )
-    attached = newly_attached(ours, workflows, identifier, as_of, days_back, config_key)
-    after = keyed_join(
-        ours, attached.select("id", "new_workflow_id", "new_state"), "id"
-    ).withColumns(
+    after = keyed_join(ours, attached, [config_key, identifier]).withColumns(
         {
             "__attached": col("new_state").isNotNull(),
             "workflow_id": F.coalesce(col("new_workflow_id"), col("workflow_id")),
             "workflow_state": F.coalesce(col("new_state"), col("workflow_state")),
         }
     ).drop("new_workflow_id", "new_state")
-    open_ones = lookup.incomplete_workflows(after, as_of, days_back, config_key=config_key)
-    latest = refresh_states(open_ones, workflows).select("id", "new_state")
-    final = keyed_join(after, latest, "id")
-    return final.filter(col("__attached") | col("new_state").isNotNull()).select(
+    running = F.coalesce(lookup.is_running() & (col("created_at") >= low), F.lit(False))
+    touched = after.withColumn("__running", running).filter(col("__attached") | col("__running"))
+    final = keyed_join(touched, state_by_workflow(workflows), ["submission_id", "workflow_id"])
+    refreshed = F.when(col("__running"), col("new_state"))
+    return final.filter(col("__attached") | refreshed.isNotNull()).select(
         "id",
         col(config_key),
         "workflow_id",
-        F.coalesce(col("new_state"), col("workflow_state")).alias("workflow_state"),
+        F.coalesce(refreshed, col("workflow_state")).alias("workflow_state"),
     )
 
 

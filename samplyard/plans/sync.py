@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols
 from samplyard.operators import lookup, update
 from samplyard.operators.clean import moment
-from samplyard.operators.joins import distinct_keys, keyed_join
+from samplyard.operators.joins import complete, distinct_keys, first_per_key, keyed_join
 from samplyard.operators.summary import derived_status
-from samplyard.operators.sync import as_records, field_changes
+from samplyard.operators.sync import changed_fields, sample_changes, unfolded
 from samplyard.schema import SchemaSpec
 from samplyard.session import checkpoint_root
 
@@ -30,14 +32,14 @@ def changes_for_configs(
     allow_null: bool = False,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """Field rows for the samples of the given configs inside the look-back.
+    """What to write into the samples of the given configs inside the look-back: one row per sample.
 
     Source rows carry the config column, so one config never reads another one's table.
     """
     key = schema.config_key
     recent = lookup.in_timeframe(samples, "custom", as_of, days_back=days_back)
     ours = keyed_join(recent, configs.select(col("id").cast("string").alias(key)), key, "left_semi")
-    return field_changes(
+    return sample_changes(
         ours,
         source,
         schema,
@@ -52,9 +54,15 @@ def changes_for_configs(
 
 
 def apply_to_samples(samples: DataFrame, changes: DataFrame, schema: SchemaSpec, as_of=None) -> DataFrame:
-    """Samples with the field rows written; the rows hold one value per id and field."""
-    fields = schema.sync_fields
-    return update.apply_records(samples, as_records(changes), schema, as_of, fields=fields, allow_nulls=True)
+    """Samples with the changes written; of several rows of an id, the first by identifier counts."""
+    settled = first_per_key(complete(changes, ["id"]), ["id"], [col(schema.identifier)])
+    return update.apply_settled(samples, settled, schema, as_of)
+
+
+def _passed_on(fields: Sequence[str]) -> Column:
+    """Whether a sample has a value that goes on to the destination."""
+    flags = [F.coalesce(col(f"new_{n}")["propagate"], F.lit(False)) for n in fields]
+    return reduce(or_, flags, F.lit(False))
 
 
 def apply_to_destination(destination: DataFrame, changes: DataFrame, schema: SchemaSpec, key: str, scope: Sequence[str] = ()) -> DataFrame:
@@ -62,14 +70,12 @@ def apply_to_destination(destination: DataFrame, changes: DataFrame, schema: Sch
 
     Several samples may stand for one entity; the sample with the greatest id is written last.
     """
-    fields = [n for n in schema.sync_fields if n in destination.columns]
-    passed = changes.filter(col("propagate")).select(
-        *cols(scope), col(schema.identifier).alias(key), "id", "field", "value"
-    )
+    fields = [n for n in changed_fields(changes) if n in destination.columns]
     picks = [
-        F.max_by(F.struct(col("value")), F.when(col("field") == n, col("id"))).alias(f"new_{n}")
+        F.max_by(F.struct(col(f"new_{n}")["value"].alias("value")), F.when(col(f"new_{n}")["propagate"], col("id"))).alias(f"new_{n}")
         for n in fields
     ]
+    passed = changes.filter(_passed_on(fields)).withColumnRenamed(schema.identifier, key)
     settled = passed.groupBy(*cols(scope), col(key)).agg(*picks)
     joined = keyed_join(destination, settled, [*scope, key])
     return joined.select(
@@ -83,18 +89,18 @@ def apply_to_destination(destination: DataFrame, changes: DataFrame, schema: Sch
 def sync_results(changes: DataFrame, destination: DataFrame, configs: DataFrame, schema: SchemaSpec, key: str) -> DataFrame:
     """Per config: samples updated, entities patched, entities that were not found, status."""
     config = schema.config_key
-    per_sample = changes.groupBy(col(config), col(schema.identifier), col("id")).agg(
-        F.bool_or(col("propagate")).alias("propagate")
+    per_entity = changes.groupBy(col(config), col(schema.identifier).alias(key)).agg(
+        F.count(F.lit(1)).alias("updated"), F.bool_or(_passed_on(changed_fields(changes))).alias("__passed")
     )
-    updated = per_sample.groupBy(config).agg(F.count(F.lit(1)).alias("updated"))
-    entities = per_sample.filter("propagate").select(config, col(schema.identifier).alias(key)).distinct()
+    # Both sides hold one row per entity and are already partitioned by it.
     there = distinct_keys(destination, [config, key]).withColumn("__there", F.lit(True))
-    patched = keyed_join(entities, there, [config, key]).groupBy(config).agg(
-        F.count(col("__there")).alias("propagated"),
-        F.count_if(col("__there").isNull()).alias("failed"),
+    counted = keyed_join(per_entity, there, [config, key], unique=True).groupBy(config).agg(
+        F.sum("updated").alias("updated"),
+        F.count_if(col("__passed") & col("__there").isNotNull()).alias("propagated"),
+        F.count_if(col("__passed") & col("__there").isNull()).alias("failed"),
     )
     base = configs.select(col("id").cast("string").alias(config))
-    joined = keyed_join(keyed_join(base, updated, config), patched, config)
+    joined = keyed_join(base, counted, config, unique=True)
     number = {n: F.coalesce(col(n), F.lit(0)) for n in ("updated", "propagated", "failed")}
     return joined.select(
         config,
@@ -117,14 +123,15 @@ def sync_all(
 ) -> dict[str, DataFrame]:
     """Everything a sync run writes: ``samples``, ``destination`` and ``results``.
 
-    The field rows feed all three, so they are pinned with a checkpoint unless ``stage`` is off.
+    The changes feed all three, so they are pinned with a checkpoint unless ``stage`` is off; they are
+    unfolded to one row per field only for the report under ``changes``.
     """
     changes = changes_for_configs(samples, source, configs, schema, source_key, as_of=as_of, **options)
     if stage:
         checkpoint_root(samples.sparkSession)
         changes = changes.checkpoint()
     return {
-        "changes": changes,
+        "changes": unfolded(changes),
         "samples": apply_to_samples(samples, changes, schema, moment(as_of)),
         "destination": apply_to_destination(destination, changes, schema, destination_key, [schema.config_key]),
         "results": sync_results(changes, destination, configs, schema, destination_key),

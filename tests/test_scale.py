@@ -6,8 +6,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from samplyard.operators import clean, joins, ordering
+from samplyard.operators import clean, joins, ordering, seqfiles
 from samplyard.operators.sync import field_changes
+from samplyard.plans.sync import apply_to_samples
 from samplyard.schema import SchemaSpec
 
 
@@ -136,3 +137,40 @@ def test_rows_of_one_load_and_config_get_many_salts(spark):
     salt = F.pmod(F.xxhash64(*joins.spread_columns(rows, ["config_id"])), F.lit(64))
     assert rows.select(salt).distinct().count() == 64
     assert joins._with_hash(rows, ["sample_id"], True).select(joins.HASH).distinct().count() == 20_000
+
+
+#: Shuffles of a plan without broadcast joins, those of the check's own inputs included.
+SHUFFLES = {"match_datasets": 7, "fetch_plan": 27, "status_refresh": 11, "sync_apply": 7, "sync_results": 9, "dataset_sheet": 2}
+
+
+@pytest.mark.parametrize("name", SHUFFLES)
+def test_shuffles_of_long_plans(small_thresholds, name):
+    import __spark_entry__ as entry
+
+    small_thresholds.conf.set("spark.sql.adaptive.enabled", "false")  # exchanges are reused in the plan itself then
+    try:
+        plan = entry.queries()[name](small_thresholds, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        small_thresholds.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"(?<!Reused)Exchange (?:hash|range|round|Single)", plan)) <= SHUFFLES[name]
+
+
+def test_a_name_of_a_third_of_all_datasets_is_one_row_when_samples_are_judged(spark):
+    name = F.when(F.col("id") % 3 == 0, "hot_L001").otherwise(F.concat(F.lit("s"), F.col("id")))
+    datasets = spark.range(30_000).select(
+        F.concat(F.lit("d"), "id").alias("dataset_id"), name.alias("name"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("date_created")
+    )
+    requests = spark.createDataFrame([("hot",), ("s1",), ("none",)], "sample string")
+    got = seqfiles.match_datasets(requests, datasets, group_by_lane=True, use_latest=True)
+    assert sorted((r["sample"], r["status"], r["dataset_id"]) for r in got.collect()) == [
+        ("hot", "lanes", "d29997"), ("none", "missing", None), ("s1", "exact", "d1"),
+    ]
+
+
+def test_repeated_ids_do_not_multiply_synced_rows(spark):
+    schema = SchemaSpec.from_dict({"fields": {"id": {"type": "string"}, "config_id": {"type": "string"}, "sid": {"type": "string", "sample_identifier": True}, "lab": {"type": "string", "sync_field": True}}})
+    target = spark.createDataFrame([("i", "c", "a", None), ("i", "c", "b", None)], "id string, config_id string, sid string, lab string")
+    changes = spark.createDataFrame(
+        [("i", "a", ("x", True)), ("i", "b", ("y", True))], "id string, sid string, new_lab struct<value:string,propagate:boolean>"
+    )
+    assert sorted(r["lab"] for r in apply_to_samples(target, changes, schema).collect()) == ["x", "x"]
