@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols
-from samplyard.operators.joins import keyed_join
 from samplyard.session import work_path
 
 
@@ -35,7 +34,7 @@ def running_totals(
     ``order`` must be a total order. One plan serves groups of every size: rows are cut into ranges
     of (key, order), each range is numbered on its own, and the totals of the ranges, a handful of
     rows per key, supply where each range starts. The ranges come from a sample, so they are pinned
-    as a table in the shared folder before they are used twice.
+    as a table in the shared folder before they are used twice. Rows without a complete key drop out.
     """
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -57,8 +56,8 @@ def running_totals(
         F.coalesce(F.sum("__count").over(earlier), F.lit(0)).alias("__rows_before"),
         F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__sum_before"),
     )
-    joined = keyed_join(numbered, starts, [*keys, "__slice"], "inner")
-    return joined.select(
+    # No (key, range) is larger than a range, so the numbered rows stay where they are for the join.
+    return numbered.join(starts, [*keys, "__slice"]).select(
         *cols([n for n in df.columns if n not in ("position", "offset")]),
         (col("__rows_before") + col("__position")).alias("position"),
         (col("__sum_before") + col("__offset")).alias("offset"),
