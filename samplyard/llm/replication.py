@@ -8,13 +8,30 @@ Copies are ordered globally by a hash of seed, doc_id and copy.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Hex digits of an md5 that make a number in [0, 1); 52 bits are exact in a double.
 DIGITS = 13
-#: Largest mean whose distribution function is summed term by term (exp(-mean) must not vanish).
-MEAN_LIMIT = 700.0
+
+
+def poisson_cdf(rate: float) -> tuple[int, np.ndarray]:
+    """The least number with a term of weight, and the distribution function from it on.
+
+    Terms are products from the mode, where they are largest, up and down, divided by their sum, so
+    no mean is too large. Beyond the mean +- 12 deviations and 40 the function is 0 or 1 in a double.
+    """
+    mode = int(rate)
+    reach = int(np.ceil(12 * np.sqrt(rate))) + 40
+    low = max(0, mode - reach)
+    down = np.cumprod(np.arange(mode, low, -1, dtype=np.float64) / rate) if rate else np.zeros(0)
+    up = np.cumprod(rate / np.arange(mode + 1, mode + reach + 1, dtype=np.float64))
+    total = np.cumsum(np.concatenate([down[::-1], [1.0], up]))
+    return low, total / total[-1]
 
 
 def hash_unit(seed: int, *parts: Column) -> Column:
@@ -24,7 +41,8 @@ def hash_unit(seed: int, *parts: Column) -> Column:
 
 
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, rows: int | None = None) -> DataFrame:
-    """``source``, ``rate`` and ``cdf`` (distribution function at 0, 1, ...) of every source.
+    """``source``, ``rate``, ``cdf`` and ``low`` of every source: the distribution function at
+    ``low``, ``low + 1``, ...; it is 0 before.
 
     Without ``weights`` every source weighs the same; a source that ``weights`` doesn't name, null
     included, weighs nothing. ``rows``: rows wanted, as many as there are by default.
@@ -42,21 +60,18 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, rows: int |
         "source",
         F.when(F.col("weight") > 0, F.col("weight") / all_weights * wanted / F.col("n")).otherwise(F.lit(0.0)).alias("rate"),
     )
-    over = F.when(F.col("rate") > MEAN_LIMIT, F.raise_error(F.lit("a source's mean repetition is above the limit")).cast("double"))
-    rated = rated.withColumn("rate", F.coalesce(over, F.col("rate")))
-    # Terms up to mean + 12 deviations + 40: beyond, the function is 1 in a double.
-    steps = F.expr("sequence(1, cast(ceil(rate + 12 * sqrt(rate)) AS int) + 40)")
-    cdf = F.aggregate(
-        steps,
-        F.struct(F.exp(-F.col("rate")).alias("term"), F.exp(-F.col("rate")).alias("total"), F.array(F.exp(-F.col("rate"))).alias("cdf")),
-        lambda s, k: F.struct(
-            (s["term"] * F.col("rate") / k).alias("term"),
-            (s["total"] + s["term"] * F.col("rate") / k).alias("total"),
-            F.array_append(s["cdf"], s["total"] + s["term"] * F.col("rate") / k).alias("cdf"),
-        ),
-        lambda s: s["cdf"],
-    )
-    return rated.withColumn("cdf", cdf)
+
+    def functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, rate in enumerate(batch.column("rate").to_pylist()):
+                low, cdf = poisson_cdf(rate)
+                row = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*row.columns, pa.array([low], pa.int32()), pa.array([cdf], pa.list_(pa.float64()))], ["source", "rate", "low", "cdf"]
+                )
+
+    kind = rated.schema["source"].dataType.simpleString()
+    return rated.mapInArrow(functions, f"source {kind}, rate double, low int, cdf array<double>")
 
 
 def replicate(docs: DataFrame, weights: dict[str, float] | None = None, rows: int | None = None, seed: int = 17) -> DataFrame:
@@ -67,12 +82,12 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None, rows: in
     one of these names is replaced.
     """
     docs = docs.drop("rate", "cdf", "copies", "copy", "order_key")
-    table = rates(docs, weights, rows).withColumnRenamed("source", "rated_source")
+    table = rates(docs, weights, rows).withColumnsRenamed({"source": "rated_source", "low": "rated_low"})
     joined = docs.join(table, docs["source"].eqNullSafe(table["rated_source"])).drop("rated_source")
     draw = hash_unit(seed, F.col("doc_id"))
-    # Copies: entries of the distribution function not above the draw; it is sorted.
-    copies = F.aggregate("cdf", F.lit(0), lambda n, p: n + (p <= F.col("draw")).cast("int"))
-    counted = joined.withColumn("draw", draw).withColumn("copies", copies).drop("draw", "cdf").filter("copies > 0")
+    # Copies: entries of the distribution function not above the draw, the zeros before ``low`` too; it is sorted.
+    copies = F.aggregate("cdf", F.col("rated_low"), lambda n, p: n + (p <= F.col("draw")).cast("int"))
+    counted = joined.withColumn("draw", draw).withColumn("copies", copies).drop("draw", "cdf", "rated_low").filter("copies > 0")
     return counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).withColumn(
         "order_key", hash_unit(seed + 1, F.col("doc_id"), F.col("copy"))
     )

@@ -1,6 +1,7 @@
 import hashlib
 import math
 from collections import Counter
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,3 +61,31 @@ def test_empty_table_limit_and_clashing_columns(nothing, documents, spark):
     assert replicate(clash).count() == replicate(documents).count()
     with pytest.raises(Exception, match="above the limit"):
         replicate(spark.createDataFrame([(1, "a")], "doc_id long, source string"), rows=10_000).collect()
+
+
+def exact_poisson(u, mean):
+    """The inverse distribution function in decimals, which hold exp(-mean) of any mean."""
+    with localcontext() as context:
+        context.prec = 60
+        term = total = (-Decimal(mean)).exp()
+        k = 0
+        while total <= Decimal(u):
+            k += 1
+            term *= Decimal(mean) / k
+            total += term
+        return k
+
+
+@pytest.mark.parametrize("mean", [0.4, 690, 700.5, 3000, 20000])
+def test_means_of_any_size(spark, mean):
+    df = spark.range(20).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"))
+    got = {r["doc_id"]: r["count"] for r in replicate(df, rows=mean * 20).groupBy("doc_id").count().collect()}
+    assert {i: got.get(i, 0) for i in range(20)} == {i: exact_poisson(unit(f"17:{i}"), mean) for i in range(20)}
+
+
+def test_one_row_of_a_source_among_many(spark):
+    """Equal weights: the only row without a source has a twentieth of all rows as its mean."""
+    df = spark.range(30001).select(F.col("id").alias("doc_id"), F.when(F.col("id") > 0, F.concat(F.lit("s"), F.col("id") % 20)).alias("source"))
+    got = {r["source"]: r["count"] for r in replicate(df).groupBy("source").count().collect()}
+    assert got[None] == exact_poisson(unit("17:0"), 30001 / 21)
+    assert len(got) == 21 and all(abs(n - 30001 / 21) < 200 for n in got.values())
