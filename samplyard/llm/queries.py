@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplyard.llm import bottomk, hilbert, paritysketch, perplexity, quality, replication, resync, sharding, substrings, urlrules
-from samplyard.llm.tables import read
+from samplyard.llm.tables import read, staged
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -50,8 +50,9 @@ def op8_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = replication.replicate(read(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"))
-    return replication.shuffle_globally(copies).select("doc_id", "source", "rate", "copies", "copy", "order_key")
+    """The index of the mixed corpus, which is written whole, with texts, in its global order."""
+    mixed = staged(replication.shuffle_globally(replication.replicate(read(spark, sf_dir, "documents"))), "mixed")
+    return replication.shuffle_globally(mixed.select("doc_id", "source", "rate", "copies", "copy", "order_key"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

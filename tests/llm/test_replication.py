@@ -6,6 +6,7 @@ from decimal import Decimal, localcontext
 import pytest
 from pyspark.sql import functions as F
 
+from samplyard.llm import queries
 from samplyard.llm.replication import rates, replicate, shuffle_globally
 
 
@@ -89,3 +90,20 @@ def test_one_row_of_a_source_among_many(spark):
     got = {r["source"]: r["count"] for r in replicate(df).groupBy("source").count().collect()}
     assert got[None] == exact_poisson(unit("17:0"), 30001 / 21)
     assert len(got) == 21 and all(abs(n - 30001 / 21) < 200 for n in got.values())
+
+
+def test_query_mixes_whole_documents(spark, documents, tmp_path, monkeypatch):
+    """What is dealt out and ordered are the documents with their texts, not their ids."""
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    written = {}
+    monkeypatch.setattr(queries, "staged", lambda df, label, put=queries.staged: written.setdefault(label, put(df, label)))
+    index = [tuple(r) for r in queries.op9_poisson_mixing(spark, str(tmp_path)).collect()]
+    assert [r[-1] for r in index] == sorted(r[-1] for r in index)
+    mixed = [r.asDict() for r in written["mixed"].collect()]
+    columns = ("doc_id", "source", "rate", "copies", "copy", "order_key")
+    assert Counter(tuple(r[c] for c in columns) for r in mixed) == Counter(index)
+    whole = [tuple(r) for r in documents.collect()]
+    want = Counter()
+    for r in replicate(documents).collect():
+        want[tuple(r[c] for c in documents.columns)] += 1
+    assert Counter(tuple(r[c] for c in documents.columns) for r in mixed) == want and set(want) <= set(whole)
