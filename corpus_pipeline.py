@@ -19,9 +19,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: the one with the least doc_id; texts without words stay."""
+    """One row of each group of near copies (five-word shingles, 80 percent alike): the one with the
+    least doc_id; texts without words stay."""
     docs = docs.select(*COLUMNS)
-    groups = staged(paritysketch.near_groups(docs), "groups")
+    groups = staged(paritysketch.near_groups(docs, words=5, percent=80), "groups")
     kept = groups.filter("component_id = doc_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL")).dropDuplicates(["doc_id"])
 

@@ -46,7 +46,7 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paritysketch.near_groups(read(spark, sf_dir, "documents"))
+    return paritysketch.near_groups(read(spark, sf_dir, "documents"), words=3, percent=90)
 
 
 def op9_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from samplyard.llm import quality
 from tests.llm.test_paritysketch import brute as brute_groups
+from tests.llm.test_paritysketch import brute_of, edited_texts
 from tests.llm.test_replication import poisson, unit
 from tests.llm.test_substrings import brute as brute_cuts
 
@@ -99,3 +100,14 @@ def test_empty_tables(spark, nothing, tmp_path):
     nothing.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_are_of_five_words_and_80_percent(spark, folder):
+    words = [f"w{i}" for i in range(500)]
+    edited = [f"e{i}" if i % 50 == 25 else w for i, w in enumerate(words)]
+    rows = [(d, text, "en", "s", len(text)) for d, text in [*edited_texts(), (1000, " ".join(words)), (1001, " ".join(edited))]]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), folder)
+    least = {k[0] for k in brute_of(rows, 5, 80) if k[0] == k[2]}
+    assert 1000 in least and 1001 not in least
+    assert {r["doc_id"] for r in kept.collect()} == least
+    assert least != {k[0] for k in brute_groups(rows) if k[0] == k[2]}
