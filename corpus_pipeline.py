@@ -19,12 +19,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies (five-word shingles, 80 percent alike): the one with the
-    least doc_id; texts without words stay."""
+    """One document of each group of near copies (five-word shingles, 80 percent alike): the one with
+    the least doc_id; texts without words stay.
+
+    Rows that share a doc_id, or have none, stay one for each distinct text: the one least in lang,
+    source and n_chars.
+    """
     docs = docs.select(*COLUMNS)
     groups = staged(paritysketch.near_groups(docs, words=5, percent=80), "groups")
     kept = groups.filter("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL")).dropDuplicates(["doc_id"])
+    rows = docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    least = F.min(F.struct("lang", "source", "n_chars")).alias("least")
+    one = rows.groupBy("doc_id", F.sha2("text", 256).alias("digest")).agg(F.first("text").alias("text"), least)
+    return one.select("doc_id", "text", "least.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

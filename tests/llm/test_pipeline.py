@@ -111,3 +111,45 @@ def test_near_copies_are_of_five_words_and_80_percent(spark, folder):
     assert 1000 in least and 1001 not in least
     assert {r["doc_id"] for r in kept.collect()} == least
     assert least != {k[0] for k in brute_groups(rows) if k[0] == k[2]}
+
+
+def test_rows_without_and_with_repeated_doc_ids(spark, folder):
+    """Null doc_ids are no value to be one by; texts under one doc_id are not copies of each other."""
+    text = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"]
+    given = [
+        (None, text[0], "en", "s", 1), (None, text[1], "en", "s", 1), (None, None, "en", "s", 1), (None, text[2], "de", "t", 2),
+        (None, text[2], "de", "s", 3), (7, text[3], "en", "s", 1), (7, text[4], "en", "s", 1), (7, text[4], None, "s", 1), (9, text[5], "en", "s", 1),
+    ]
+    df = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long")
+    want = sorted(map(str, [*given[:3], given[4], given[5], given[7], given[8]]))
+    for n in (1, 5):
+        kept = corpus_pipeline.drop_near_copies(spark, df.repartition(n), folder)
+        assert sorted(map(str, rows(kept))) == want
+
+
+def test_stages_with_null_and_repeated_doc_ids(spark, documents, folder, tmp_path):
+    """The fixture as it is: no clean text is lost on the way to the packing."""
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, steps = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        steps.append(docs)
+    before, after = rows(steps[0]), rows(steps[1])
+    least = {k[0] for k in brute_of(before, 5, 80) if k[0] == k[2]}
+    assert any(r[0] is None for r in before)
+    want = {}
+    for r in before:
+        if r[0] is None or r[0] in least:
+            want[r[:2]] = min([want.get(r[:2], r), r], key=lambda x: [(v is not None, v) for v in x[2:]])
+    assert Counter(after) == Counter(want.values())
+    cut, mixed = rows(steps[2]), rows(steps[3])
+    assert sum(r[0] is None for r in cut) == sum(r[0] is None for r in after)
+    n, counts = Counter(r[3] for r in cut), Counter()
+    for r in cut:
+        counts[r] += poisson(unit(f"17:{'null' if r[0] is None else r[0]}"), 1 / len(n) * len(cut) / n[r[3]])
+    assert Counter(mixed) == +counts
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokens = sum(len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in mixed)
+    assert steps[4].agg(F.sum("length")).first()[0] == tokens
