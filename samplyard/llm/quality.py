@@ -1,8 +1,8 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network.
 
 Words hash into ``SLOTS`` slots. Every slot has a fixed sparse index vector of -1, 0 and 1; the
-context vector of a slot is the sum of the index vectors of its neighbours within two words, over a
-sample of labelled documents. Sums are whole numbers, so they are the same in every run. A
+context vector of a slot is the sum of the index vectors of its neighbours within two words, over all
+documents, labelled or not. Sums are whole numbers, so they are the same in every run. A
 document is the mean of its words' vectors with a few shape features; a network with one hidden layer
 learns on the sample, and a temperature fitted on a part it didn't learn from calibrates its scores.
 The model has a fixed size; only the sample, bounded by ``sample``, is gathered by the driver.
@@ -55,8 +55,9 @@ def context_sums(docs: DataFrame) -> np.ndarray:
     """The context vector of every slot over these documents."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, total = index_vectors(), np.zeros((SLOTS, SIZE), np.int32)
-        for batch in pieces(batches):
+        index, total = index_vectors(), np.zeros((SLOTS, SIZE), np.int64)
+        # A text byte takes about 100 bytes of vectors.
+        for batch in pieces(batches, 1 << 17):
             slots, _, at = word_slots(batch)
             if not len(slots):
                 continue
@@ -72,18 +73,18 @@ def context_sums(docs: DataFrame) -> np.ndarray:
             total[slots[order][first]] += np.add.reduceat(near[order].astype(np.int32), first, axis=0)
         for i in range(0, SLOTS, BLOCK):
             if total[i : i + BLOCK].any():
-                yield pa.RecordBatch.from_pydict({"block": np.array([i]), "sums": [total[i : i + BLOCK].astype("<i4").tobytes()]})
+                yield pa.RecordBatch.from_pydict({"block": np.array([i]), "sums": [total[i : i + BLOCK].astype("<i8").tobytes()]})
 
     def merged(pdf):
-        sums = sum(np.frombuffer(b, "<i4").astype(np.int64) for b in pdf["sums"])
-        return pdf.iloc[:1].assign(sums=[sums.astype("<i4").tobytes()])
+        sums = sum(np.frombuffer(b, "<i8") for b in pdf["sums"])
+        return pdf.iloc[:1].assign(sums=[sums.astype("<i8").tobytes()])
 
     parts = docs.select("text").mapInArrow(add, "block long, sums binary")
     # SLOTS * SIZE numbers: a proven bound.
     rows = parts.groupBy("block").applyInPandas(merged, parts.schema).toArrow()
     total = np.zeros((SLOTS, SIZE), np.float32)
     for block, sums in zip(rows.column("block").to_pylist(), rows.column("sums").to_pylist()):
-        total[block : block + BLOCK] = np.frombuffer(sums, "<i4").reshape(BLOCK, SIZE)
+        total[block : block + BLOCK] = np.frombuffer(sums, "<i8").reshape(BLOCK, SIZE)
     return total
 
 
@@ -175,14 +176,15 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, Network]:
-    """Word vectors and network, from at most ``sample`` labelled rows outside the held-out fold."""
+    """Word vectors from all rows; network and temperature from at most ``sample`` labelled rows
+    outside the held-out fold."""
     usable = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(fold(F.col("doc_id")) != 0)
     chosen = usable.groupBy("doc_id").agg(F.min("quality").alias("label"))
     # ``sample`` rows at most: a proven bound.
     chosen = staged(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "labels")
     rows = texts_of(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
     rows = staged(rows.repartition(F.xxhash64("doc_id")), "sample")
-    vectors = word_vectors(context_sums(rows))
+    vectors = word_vectors(context_sums(texts_of(docs)))
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from samplyard.llm import quality as Q
@@ -55,3 +56,19 @@ def test_temperature_lowers_the_loss():
     y = rng.integers(0, 2, 2000).astype(float)
     logits = np.where(y == 1, 1, -1) * 6.0 * np.where(rng.random(2000) < 0.8, 1, -1)
     assert 3.5 < Q.fit_temperature(logits, y) < 5.5
+
+
+def test_words_outside_the_sample_have_context(spark, documents, cases):
+    """Word vectors come from the whole table, however few rows the network is fitted on."""
+    labels = spark.createDataFrame([(i * 3, i % 2, 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    few, many = (Q.fit(documents, labels, sample)[0] for sample in (5, 50))
+    assert (few == many).all()
+    index, sums = Q.index_vectors().astype(np.int64), np.zeros((Q.SLOTS, Q.SIZE), np.int64)
+    for r in cases:
+        batch = pa.RecordBatch.from_pydict({"text": [r[1] or ""]})
+        slots = Q.word_slots(batch)[0]
+        for i, slot in enumerate(slots):
+            for j in range(max(0, i - Q.REACH), min(len(slots), i + Q.REACH + 1)):
+                if j != i:
+                    sums[slot] += index[slots[j]]
+    assert (few == Q.word_vectors(sums.astype(np.float32))).all()
