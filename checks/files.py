@@ -17,21 +17,24 @@ BARE = r"regexp_replace({c}, '(?i)[_-]L\d{{1,3}}(_R[12].*|)$', '\1')"
 
 # ---- parsing -------------------------------------------------------------------------------
 
-def run_items(v):
-    """Runs: one per pending order, named like its customer, as search item text."""
+def run_items(v, orders=None):
+    """Runs: one per order, named like its customer, as search item text; only pending ones are of type run."""
+    orders = v.orders if orders is None else orders
     run = F.struct(
         col("o_orderkey").cast("string").alias("Id"),
         F.concat(F.lit("run "), "o_orderkey").alias("Name"),
         F.concat(F.lit("Customer#"), F.lpad(col("o_custkey").cast("string"), 9, "0")).alias("ExperimentName"),
     )
-    item = F.struct(F.when(col("o_orderpriority") == "5-LOW", "Unknown").otherwise("Run").alias("Type"), run.alias("Run"))
-    return v.orders.filter("o_orderstatus = 'P'").select(F.to_json(item).alias("value"))
+    item = F.struct(F.when((col("o_orderpriority") == "5-LOW") | ~col("o_orderstatus").eqNullSafe("P"), "Unknown").otherwise("Run").alias("Type"), run.alias("Run"))
+    return orders.select(F.to_json(item).alias("value"))
 
 
-def project_items(v):
+def project_items(v, customers=None):
+    """Projects: one per customer; only those with a positive balance are of type project."""
+    customers = v.customer if customers is None else customers
     project = F.struct(col("c_custkey").cast("string").alias("Id"), col("c_name").alias("Name"))
-    item = F.struct(F.lit("PROJECT").alias("Type"), project.alias("Project"))
-    return v.customer.filter("c_acctbal > 0").select(F.to_json(item).alias("value"))
+    item = F.struct(F.when(col("c_acctbal") > 0, "PROJECT").otherwise("Unknown").alias("Type"), project.alias("Project"))
+    return customers.select(F.to_json(item).alias("value"))
 
 
 ITEMS = """
@@ -49,7 +52,9 @@ def all_items(v):
 
 @case("parse_search_items", ITEMS)
 def parse_search_items(v):
-    return all_items(v).drop("raw")
+    # Its SQL has the items of pending orders and positive balances only.
+    runs, projects = run_items(v, v.orders.filter("o_orderstatus = 'P'")), project_items(v, v.customer.filter("c_acctbal > 0"))
+    return source.parse_search_items(source.union_scopes(runs, projects)).drop("raw")
 
 
 @case("union_scopes", f"""
