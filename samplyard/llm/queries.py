@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samplyard.llm import bottomk, hilbert, paritysketch, perplexity, quality, replication, resync, sharding, substrings, urlrules
+from samplyard.llm import (
+    bottomk,
+    centroids,
+    hilbert,
+    paritysketch,
+    perplexity,
+    quality,
+    replication,
+    resync,
+    sharding,
+    substrings,
+    urlrules,
+)
 from samplyard.llm.tables import read, staged
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -59,6 +71,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resync.token_counts(read(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,11 +88,13 @@ QUERIES = {
         op8_parity_sketch_join,
         op9_poisson_mixing,
         op10_token_counts,
+        op13_centroids,
     )
 }
 
 #: The distribution function of a source is summed term by term, as the operator does.
 ORACLES = {
+    "op13_centroids": centroids.oracle(),
     "op9_poisson_mixing": """
 WITH RECURSIVE counted AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rated AS (

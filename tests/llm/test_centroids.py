@@ -1,0 +1,97 @@
+import hashlib
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from samplyard.llm import centroids
+
+DDL = "vec_id long, embedding array<float>"
+
+
+def brute(rows, k=16, rounds=3, dims=64, scale=64, seed=1):
+    kept = [
+        (i, tuple(math.floor(scale * x) for x in v))
+        for i, v in rows
+        if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    draw = lambda i: (i is None, "" if i is None else hashlib.sha256(f"{seed}:{i}".encode()).hexdigest())
+    means = [v for _, v in sorted(kept, key=lambda r: (draw(r[0]), r[1]))][:k]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    assign = lambda: [min((far(v, c), n) for n, c in enumerate(means)) for _, v in kept]
+    for _ in range(rounds):
+        chosen = [n for _, n in assign()]
+        for n in set(chosen):
+            own = [v for (_, v), c in zip(kept, chosen) if c == n]
+            means[n] = tuple(sum(x) // len(own) for x in zip(*own))
+    final = assign()
+    total = sum(d for d, _ in final)
+    inertia = {n: sum(d for d, c in final if c == n) for _, n in final}
+    text = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in means]
+    return sorted(((i, n, d, inertia[n], total, text[n]) for (i, _), (d, n) in zip(kept, final)), key=str)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def vector(rng, dims=64, reach=1.0):
+    # Values that a float holds exactly, so that both sides see the same numbers.
+    return [rng.randrange(-1024, 1024) * reach / 1024 for _ in range(dims)]
+
+
+@pytest.fixture(scope="module")
+def vectors():
+    rng = random.Random(3)
+    rows = [(i, vector(rng)) for i in range(120)]
+    rows += [(200 + i, rows[7][1]) for i in range(60)]  # one vector holds a third of all rows
+    rows += [(7, rows[7][1]), (9, rows[11][1]), (None, rows[3][1]), (None, vector(rng))]
+    bad = [None, [], vector(rng, 63), vector(rng, 65), [None] * 64, [0.5] * 63 + [None]]
+    bad += [[0.5] * 63 + [x] for x in (math.nan, math.inf, -math.inf)]
+    return rows + [(500 + i, v) for i, v in enumerate(bad)]
+
+
+def test_equals_brute_force(spark, vectors):
+    df = spark.createDataFrame(vectors, DDL).repartition(5)
+    crowded = df.withColumns({n: F.lit("x") for n in ("label", "cluster", "distance", "vec", "inertia")})
+    got = centroids.cluster_vectors(crowded)
+    assert got.schema.simpleString().replace("bigint", "long") == f"struct<{centroids.RESULT.replace(' ', ':').replace(',:', ',')}>"
+    assert found(got) == brute(vectors)
+
+
+@pytest.mark.parametrize("k, rounds, dims, seed", [(1, 3, 64, 1), (5, 0, 64, 2), (40, 2, 64, 1), (3, 4, 2, 9)])
+def test_other_parameters(spark, k, rounds, dims, seed):
+    rng = random.Random(k)
+    rows = [(i, vector(rng, dims)) for i in range(50)]
+    got = centroids.cluster_vectors(spark.createDataFrame(rows, DDL), k, rounds, dims, seed=seed)
+    assert found(got) == brute(rows, k, rounds, dims, seed=seed)
+
+
+def test_ties_go_to_the_smaller_number_and_empty_clusters_stay(spark):
+    # Twenty copies of one vector: all first centroids are equal, so 0 takes every row.
+    rows = [(i, [0.25] * 64) for i in range(20)]
+    got = found(centroids.cluster_vectors(spark.createDataFrame(rows, DDL)))
+    assert got == brute(rows)
+    assert {r[1] for r in got} == {0}
+
+
+def test_fewer_vectors_than_centroids_and_none(spark, vectors):
+    assert found(centroids.cluster_vectors(spark.createDataFrame(vectors[:3], DDL))) == brute(vectors[:3])
+    for rows in ([], vectors[-9:]):
+        empty = centroids.cluster_vectors(spark.createDataFrame(rows, DDL))
+        assert empty.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+        assert empty.collect() == []
+
+
+def test_values_out_of_reach_are_held(spark):
+    rows = [(i, [3e38 if i % 2 else -3e38] * 64) for i in range(40)] + [(99, [0.0] * 64)]
+    got = centroids.cluster_vectors(spark.createDataFrame(rows, DDL), k=1)
+    assert all(0 <= r.distance <= r.cluster_inertia <= r.inertia == centroids.LARGEST for r in got.collect())
+
+
+def test_doubles_and_no_python_in_the_plan(spark, vectors):
+    df = spark.createDataFrame([(i, v) for i, v in vectors], "vec_id long, embedding array<double>")
+    got = centroids.cluster_vectors(df)
+    assert found(got) == brute(vectors)
+    assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
