@@ -10,6 +10,7 @@ from samplyard.llm import (
     bottomk,
     centroids,
     hilbert,
+    merkle,
     paritysketch,
     perplexity,
     quality,
@@ -71,6 +72,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resync.token_counts(read(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(read(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
 
@@ -88,12 +93,14 @@ QUERIES = {
         op8_parity_sketch_join,
         op9_poisson_mixing,
         op10_token_counts,
+        op11_merkle_manifest,
         op13_centroids,
     )
 }
 
 #: The distribution function of a source is summed term by term, as the operator does.
 ORACLES = {
+    "op11_merkle_manifest": merkle.ORACLE,
     "op13_centroids": centroids.oracle(),
     "op9_poisson_mixing": """
 WITH RECURSIVE counted AS (SELECT source, count(*) AS n FROM documents GROUP BY source),

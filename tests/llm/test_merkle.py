@@ -1,0 +1,121 @@
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from samplyard.llm import merkle
+from tests.llm.conftest import SCHEMA
+
+sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+runs = lambda nodes: [nodes[i : i + 3] for i in range(0, len(nodes), 3)]
+
+
+def part(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def leaf_of(row, text):
+    doc_id, _, lang, source, n_chars = row
+    return sha("".join(map(part, (doc_id, source, lang, n_chars, text))))
+
+
+def levels(nodes):
+    every = [nodes]
+    while len(every[-1]) > 1:
+        every.append([sha("".join(run)) for run in runs(every[-1])])
+    return every
+
+
+def way(every, at):
+    """(left, right) siblings of a node up to the top."""
+    steps = []
+    for nodes in every[:-1]:
+        run = runs(nodes)[at // 3]
+        steps.append(("".join(run[: at % 3]), "".join(run[at % 3 + 1 :])))
+        at //= 3
+    return steps
+
+
+def brute(rows):
+    trees = {}
+    for row in rows:
+        trees.setdefault(row[3], []).append(row)
+    sources = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    built = {}
+    for source in sources:
+        own = sorted(trees[source], key=lambda r: (r[0] is not None, r[0] or 0, leaf_of(r, r[1])))
+        built[source] = own, levels([leaf_of(r, r[1]) for r in own])
+    over = levels([built[s][1][-1][0] for s in sources])
+    root, out = over[-1][0] if rows else None, []
+    for n, source in enumerate(sources):
+        own, every = built[source]
+        for i, row in enumerate(own):
+            steps = way(every, i) + way(over, n)
+            leaf, text = every[0][i], row[1]
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0 and text is not None:
+                text = text.replace("\n", "")
+            node = leaf_of(row, text)
+            for left, right in steps:
+                node = sha(left + node + right)
+            out.append((row[0], leaf, every[-1][0], root, sha("".join(a + b for a, b in steps)), node, node == root))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_equals_brute_force(documents, cases):
+    assert found(merkle.manifest(documents)) == brute(cases)
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    """Blocks of three levels, so that a few hundred rows take several tiers."""
+    monkeypatch.setattr(merkle, "DEPTH", 2)
+    monkeypatch.setattr(merkle, "WIDTH", 9)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 9, 10, 27, 28, 81, 82, 250])
+def test_trees_of_every_height(spark, small_blocks, n):
+    rows = [(i, f"line\n{i}", "en", "hot" if i % 4 else f"s{i:03}", i) for i in range(n)]
+    assert found(merkle.manifest(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute(rows)
+
+
+def test_many_sources_and_one_source(spark, small_blocks):
+    rows = [(i, "x\ny", None, f"s{i}é" if i else None, i) for i in range(120)]
+    assert found(merkle.manifest(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+    rows = [(i, "x\ny", None, "only", i) for i in range(90)]
+    assert found(merkle.manifest(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+
+
+def test_nulls_repeats_ties_and_clashing_names(spark, small_blocks):
+    rows = [(None, None, None, None, None)] * 30 + [(5, "a\n", "en", "", 2)] * 40 + [(5, text, "de", "", 1) for text in ("b", "", None)]
+    rows += [(None, "x\n", "en", "=", 1), (7, "", "en", "=", 0), (8, None, "en", "=", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    crowded = df.withColumns({c: F.lit("?") for c in ("tree", "node", "row", "place", "size", "range", "at", "leaf", "root", "block")})
+    assert found(merkle.manifest(crowded)) == brute(rows)
+
+
+def test_empty_table_and_long_text(spark, nothing):
+    empty = merkle.manifest(nothing)
+    assert empty.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    assert empty.collect() == []
+    rows = [(4, "long é\n" * 300_000, "fr", "s", 9), (6, "short", "fr", "s", 9)]
+    assert found(merkle.manifest(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+
+
+def test_paths_prove_and_refuse(documents, cases):
+    rows = merkle.document_proofs(documents).withColumn("folded", merkle.fold(F.col("leaf"), F.col("path"))).collect()
+    assert {r.folded for r in rows} == {r.root for r in rows} and len({r.root for r in rows}) == 1
+    spoilt = [r for r in rows if r.spoilt is not None]
+    assert spoilt
+    bad = merkle.manifest(documents).filter("NOT verified").collect()
+    assert len(bad) == len(spoilt)
+    assert len({r.source for r in rows}) == len({c[3] for c in cases})
+
+
+def test_no_python_in_the_plan(documents):
+    plan = merkle.manifest(documents)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
