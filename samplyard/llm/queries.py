@@ -19,6 +19,7 @@ from samplyard.llm import (
     sharding,
     substrings,
     urlrules,
+    warc,
 )
 from samplyard.llm.tables import read, staged
 
@@ -76,6 +77,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read(spark, sf_dir, "documents"))
 
 
+def op12_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(read(spark, sf_dir, "pages"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(read(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed=1)
 
@@ -94,6 +99,7 @@ QUERIES = {
         op9_poisson_mixing,
         op10_token_counts,
         op11_merkle_manifest,
+        op12_seekable_warc,
         op13_centroids,
     )
 }
@@ -101,6 +107,7 @@ QUERIES = {
 #: The distribution function of a source is summed term by term, as the operator does.
 ORACLES = {
     "op11_merkle_manifest": merkle.ORACLE,
+    "op12_seekable_warc": warc.ORACLE,
     "op13_centroids": centroids.oracle(),
     "op9_poisson_mixing": """
 WITH RECURSIVE counted AS (SELECT source, count(*) AS n FROM documents GROUP BY source),

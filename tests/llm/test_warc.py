@@ -1,0 +1,134 @@
+import hashlib
+import io
+import os
+from pathlib import Path
+
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from samplyard.llm import warc
+
+DDL = "page_id long, url string, html string"
+
+
+def brute(rows):
+    out, groups = [], {}
+    for row in rows:
+        groups.setdefault((row[2] or "").encode(), []).append(row[0])
+    for payload, ids in groups.items():
+        ids = sorted(ids, key=lambda i: (i is not None, i or 0), reverse=True)
+        for n, page_id in enumerate(ids):
+            again = n > 0 and len(payload) >= 1000
+            digest = hashlib.sha1(payload).hexdigest()
+            out.append((page_id, len(payload), digest, "revisit" if again else "response", ids[0] if again else None))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def pages():
+    body = lambda i, n: f"<p>page {i} é</p>" + "text " * n
+    rows = [(i, f"https://example.org/{i}", body(i, 40 * (i % 30))) for i in range(90)]
+    rows += [(100 + i, "http://a.b/c d\r\né", body("same", 300)) for i in range(60)]  # a third of all rows
+    rows += [(200 + i, None, body("small", 3)) for i in range(5)]
+    rows += [(300, "u", "x" * 999), (301, "u", "x" * 999), (302, "u", "é" * 500), (303, "u", "é" * 500), (304, "u", "x" * 1000)]
+    rows += [(None, None, body("same", 300)), (None, "u", None), (None, None, "q" * 2000), (None, "v", "q" * 2000), (400, "u", None), (401, "u", "")]
+    rows += [(500, "u", "t" * 1500)] * 3 + [(501, "u", "\r\n\r\nWARC/1.1\r\n\r\n" * 100), (502, "u", os.urandom(400_000).hex())]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def frame(spark, pages):
+    return spark.createDataFrame(pages, DDL).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def written(spark, frame, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("warc")
+    return folder, warc.write_archives(frame, str(folder), frame_bytes=20_000, archive_bytes=2_000)
+
+
+def test_equals_brute_force(frame, pages):
+    crowded = frame.withColumns({c: F.lit("?") for c in ("row", "payload", "digest", "key", "best", "n", "leader", "spread", "archive")})
+    assert found(warc.archived_pages(crowded)) == brute(pages)
+
+
+def test_small_frames_and_archives(written, pages):
+    folder, index = written
+    assert found(warc.resolved(warc.read_archives(index))) == brute(pages)
+    named = {r.archive for r in index.collect()}
+    assert len(named) > 4 and {str(p) for p in folder.iterdir()} == named
+    assert index.count() == len(pages) == index.select("record_id").distinct().count()
+
+
+def test_any_zstandard_reader_reads_the_archives(written, pages):
+    folder, _ = written
+    kinds, bodies = [], []
+    for path in folder.iterdir():
+        with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(path.read_bytes()), read_across_frames=True) as reader:
+            data = reader.read()
+        while data:
+            head, rest = data.split(b"\r\n\r\n", 1)
+            lines = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
+            n = int(lines[b"Content-Length"])
+            assert head.startswith(b"WARC/1.1\r\n") and rest[n : n + 4] == b"\r\n\r\n"
+            kinds.append(lines[b"WARC-Type"])
+            if kinds[-1] == b"response":
+                bodies.append(rest[:n].split(b"\r\n\r\n", 1)[1])
+            data = rest[n + 4 :]
+    assert kinds.count(b"warcinfo") == len(list(folder.iterdir()))
+    wanted = brute(pages)
+    assert kinds.count(b"revisit") == sum(r[3] == "revisit" for r in wanted)
+    assert sorted(hashlib.sha1(b).hexdigest() for b in bodies) == sorted(r[2] for r in wanted if r[3] == "response")
+
+
+def test_index_leads_to_single_records(spark, written, pages):
+    _, index = written
+    wanted = index.filter("page_id % 7 = 0 OR page_id IS NULL").select("record_id", "page_id").collect()
+    asked = spark.createDataFrame([(r.record_id,) for r in wanted] + [("<urn:uuid:none>",)], "record_id string")
+    got = {r.record_id: r for r in warc.fetch_records(index, asked).collect()}
+    assert set(got) == {r.record_id for r in wanted}
+    html = {p[0]: (p[2] or "").encode() for p in pages}
+    for row in wanted:
+        assert got[row.record_id].page_id == row.page_id
+        if row.page_id is not None and got[row.record_id].record_type == "response":
+            assert bytes(got[row.record_id].payload) == html[row.page_id]
+    by_url = {r.url for r in warc.read_archives(index, payloads=False).collect()}
+    assert "http://a.b/c%20d%0D%0A%C3%A9" in by_url and None in by_url
+
+
+def test_a_frame_is_read_on_its_own(written):
+    _, index = written
+    path = index.filter("frame = 2").first().archive
+    frames = warc.Frames(path)
+    headers, _, _ = warc.parse(frames.read(2), 0)
+    assert headers["WARC-Type"] in ("response", "revisit") and len(frames) > 2
+
+
+@pytest.mark.parametrize("place, message", [(40, "damaged|ecompress"), (-1, "no seek table"), (-12, "no seek table|damaged|ecompress|rror")])
+def test_damaged_archives_are_refused(spark, frame, tmp_path, place, message):
+    index = warc.write_archives(frame.coalesce(1), str(tmp_path))
+    path = Path(index.first().archive)
+    data = bytearray(path.read_bytes())
+    data[place] ^= 0x55
+    path.write_bytes(data)
+    with pytest.raises(Exception, match=message):
+        warc.read_archives(index).count()
+
+
+def test_empty_table(spark, tmp_path):
+    empty = spark.createDataFrame([], DDL)
+    index = warc.write_archives(empty, str(tmp_path / "none"))
+    assert index.count() == 0 and not (tmp_path / "none").exists()
+    got = warc.archived_pages(empty)
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"] and got.collect() == []
+
+
+def test_a_missing_response_leaves_nulls(spark, written):
+    _, index = written
+    records = warc.read_archives(index, payloads=False).filter("record_type = 'revisit'")
+    assert {(r.payload_bytes, r.refers_to) for r in warc.resolved(records).collect()} == {(None, None)}
