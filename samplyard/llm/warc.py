@@ -309,7 +309,8 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
                         at = following
                     yield _table(rows, schema)
 
-    archives = index.select("archive").distinct().repartition(partitions(index.sparkSession), "archive")
+    # Dealt in turn: the partitions of the distinct names are few, and by the same key they would stay.
+    archives = index.select("archive").distinct().repartition(partitions(index.sparkSession))
     return archives.mapInArrow(read, CONTENT)
 
 
