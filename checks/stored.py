@@ -14,7 +14,7 @@ from samplyard.plans import ingest
 from samplyard.session import work_path
 from samplyard.sources import store
 from samplyard.streaming import ingest as stream_plan
-from samplyard.streaming import windows
+from samplyard.streaming import stages, windows
 
 UNKNOWN = f"AND NOT EXISTS (SELECT 1 FROM ({KNOWN}) k WHERE k.sample_id = r.entity_id)"
 
@@ -106,6 +106,26 @@ def stream_lifecycle(v):
     return windows.latest_state(v.spark.read.parquet(out), ["id"]).select("id", "created_at", "uploaded_at", "submitted_at", "stage")
 
 
+ENDED = "workflow_state IN ('Succeeded', 'Failed', 'Aborted')"
+
+
+@case("stream_stages", f"""
+SELECT id, created_at, uploaded_at, submitted_at, finished_at, CASE WHEN finished_at IS NOT NULL THEN workflow_state END AS outcome,
+       CASE WHEN finished_at IS NOT NULL THEN 'finished' WHEN submitted_at IS NOT NULL THEN 'submitted'
+            WHEN uploaded_at IS NOT NULL THEN 'uploaded' ELSE 'created' END AS stage
+FROM (SELECT *, CASE WHEN {ENDED} THEN created_at + INTERVAL 3 DAY END AS finished_at FROM samples)""", ("samples",))
+def stream_stages(v):
+    """The events of a sample come in four files, later stages before earlier ones for many."""
+    landing, out = work_path(v.spark, "events"), work_path(v.spark, "stages")
+    finished = F.expr(f"CASE WHEN {ENDED} THEN created_at + INTERVAL 3 DAY END")
+    times = {"created": "created_at", "uploaded": "uploaded_at", "submitted": "submitted_at", "finished": finished}
+    events = stages.stage_events(v.samples, times, "workflow_state")
+    events.withColumn("file", F.pmod(F.xxhash64("id", "stage"), F.lit(4))).write.partitionBy("file").parquet(landing)
+    rows = v.spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "8").parquet(landing)
+    stages.start_stages(rows, out, work_path(v.spark, "offsets"), late="36500 days").awaitTermination()
+    return stages.current_stages(v.spark.read.parquet(out))
+
+
 @case("stream_repeats", "SELECT DISTINCT user_id FROM events")
 def stream_repeats(v):
     out = work_path(v.spark, "users")
