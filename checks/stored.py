@@ -89,7 +89,7 @@ def stream_ingest(v):
     path = work_path(v.spark, "samples")
     raw = v.view("raw_orders", orders=stream_of(v, "orders")).withColumnRenamed("entity_id", "entity:order_id")
     stream_plan.start_ingest(
-        raw, INTAKE, path, work_path(v.spark, "offsets"), known=lambda: known_samples(v),
+        raw, INTAKE, path, work_path(v.spark, "offsets"), seed=lambda: known_samples(v),
         configs=v.configs, config_column="config", entity_type="order", as_of=ORDERS_AS_OF,
     ).awaitTermination()
     return stream_plan.read_table(v.spark, path, INTAKE).select(*CLEAN_COLUMNS)

@@ -50,3 +50,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared folder for one staged table."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders, sorted; none where the folder is missing. Works on every store Spark reads."""
+    files, place = _hadoop(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a job has written the folder to the end."""
+    files, place = _hadoop(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return files.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, place = _hadoop(spark, path)
+    files.delete(place, True)
