@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.cleaning import CLEAN_COLUMNS, CLEAN_SQL, INTAKE, KNOWN, known_samples
 from checks.configs import CONFIG
 from checks.registry import case
-from checks.updates import BATCH, RECORDS, SAMPLES, bulk_sql, records
+from checks.updates import BATCH, MINE, NOW, READY, RECORDS, SAMPLES, SYNC, bulk_sql, records, sync_changes, written
 from checks.views import ORDERS_AS_OF
 from samplyard.functions.columns import col
 from samplyard.plans import ingest
 from samplyard.session import work_path
-from samplyard.sources import store
+from samplyard.sources import bucketed, store
 from samplyard.streaming import ingest as stream_plan
 from samplyard.streaming import stages, windows
 
@@ -43,6 +45,53 @@ def stored_update_counts(v):
     return updated(v)[1]
 
 
+# ---- the samples in buckets ----------------------------------------------------------------
+
+def bucketed_table(v, rows, schema):
+    """The rows as a bucketed table, by year of creation, a part of them without a day."""
+    name = f"samples_{uuid.uuid4().hex}"
+    bucketed.create_bucketed(v.spark, name, schema, 16, work_path(v.spark, "bucketed"))
+    bucketed.append_bucketed(store.conform(rows, schema), name)
+    return name
+
+
+def in_years(rows, has_day):
+    return rows.withColumn("created_at", F.when(has_day, F.date_trunc("year", "created_at").cast("timestamp_ntz")))
+
+
+@case("bucketed_update", bulk_sql("state IS NOT NULL"), ("samples",))
+def bucketed_update(v):
+    name = bucketed_table(v, in_years(v.samples, col("entity_type").isNotNull()), SAMPLES)
+    bucketed.update_bucketed(v.spark, name, records(v), SAMPLES, ORDERS_AS_OF, fields=["workflow_state", "upload_source"], batch_size=BATCH)
+    return v.spark.table(name).select("id", "workflow_state", "upload_source", "updated_at")
+
+
+@case("bucketed_marks", f"""
+SELECT id, CASE WHEN uploaded_at IS NULL THEN {NOW} ELSE uploaded_at END AS uploaded_at,
+       CASE WHEN uploaded_at IS NULL THEN 'again' ELSE upload_source END AS upload_source,
+       CASE WHEN {READY} THEN {NOW} ELSE submitted_at END AS submitted_at,
+       CASE WHEN {READY} THEN 'new_' || config_id ELSE submission_id END AS submission_id,
+       CASE WHEN {READY} THEN 'Submitted' ELSE workflow_state END AS workflow_state,
+       CASE WHEN uploaded_at IS NULL OR {READY} THEN {NOW} END AS updated_at FROM samples""", ("samples",))
+def bucketed_marks(v):
+    name = bucketed_table(v, in_years(v.samples, col("entity_type").isNotNull()), SAMPLES)
+    ready = v.samples.filter(READY).select("id", F.concat(F.lit("new_"), "config_id").alias("submission_id"))
+    bucketed.mark_uploaded(v.spark, name, v.samples.filter("uploaded_at IS NULL"), "again", SAMPLES, ORDERS_AS_OF)
+    bucketed.mark_submitted(v.spark, name, ready, SAMPLES, ORDERS_AS_OF)
+    return v.spark.table(name).select("id", "uploaded_at", "upload_source", "submitted_at", "submission_id", "workflow_state", "updated_at")
+
+
+@case("bucketed_sync", f"""
+WITH {MINE}
+SELECT t.id, {written("lab")} AS lab, {written("stage")} AS stage, cast({written("total")} AS double) AS total,
+       CASE WHEN t.id IN (SELECT id FROM mine) THEN {NOW} END AS updated_at
+FROM sync_target t""", ("sync_target", "sync_source"))
+def bucketed_sync(v):
+    name = bucketed_table(v, in_years(v.sync_target, col("stage").isNotNull()), SYNC)
+    bucketed.apply_sync(v.spark, name, sync_changes(v), SYNC, ORDERS_AS_OF)
+    return v.spark.table(name).select("id", "lab", "stage", "total", "updated_at")
+
+
 @case("insert_rows", """
 SELECT id, name, active FROM configs UNION ALL SELECT 'new-1', 'first', true UNION ALL SELECT 'new-2', NULL, NULL""", ("configs",))
 def insert_rows(v):

@@ -166,6 +166,15 @@ ACTIVE = "SELECT cast(c_custkey AS string) AS id FROM customer WHERE c_acctbal >
 DESTINATION = "SELECT sample_id AS entity, config_id, lab, stage FROM sync_target WHERE total IS NOT NULL"
 
 
+def sync_changes(v):
+    """What the sync run of the active configs writes, one row per sample."""
+    source = v.sync_source.select(col("entity_id").alias("entity:order_id"), "config_id", "lab", "stage", "src_total", "version")
+    return sync_plan.changes_for_configs(
+        v.sync_target, source, v.configs.filter("active"), SYNC, "entity:order_id",
+        as_of=ORDERS_AS_OF, days_back=10_000, overwrite=True, allow_null=True, tie_break=["version"],
+    )
+
+
 def sync_run(v):
     source = v.sync_source.select(col("entity_id").alias("entity:order_id"), "config_id", "lab", "stage", "src_total", "version")
     destination = v.sync_target.filter("total IS NOT NULL").select(col("sample_id").alias("entity"), "config_id", "lab", "stage")
