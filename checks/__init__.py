@@ -2,6 +2,6 @@
 
 from checks.registry import ORACLES, QUERIES
 
-from checks import cleaning, configs, files, jobs, lookups, stored, submissions, tables, updates  # noqa: F401, E402
+from checks import cleaning, configs, files, jobs, landed, lookups, stored, submissions, tables, updates  # noqa: F401, E402
 
 __all__ = ["ORACLES", "QUERIES"]
