@@ -10,6 +10,7 @@ from samplyard.operators import seqfiles
 from samplyard.plans import fetch
 from samplyard.sources import datasets as source
 
+# How the two reads of a pair and the lane of a dataset are told by a name.
 R1 = r"regexp_matches(file_name, '(?i)[_-]R1.*\.fastq\.gz$')"
 R2 = r"regexp_matches(file_name, '(?i)[_-]R2.*\.fastq\.gz$')"
 BARE = r"regexp_replace({c}, '(?i)[_-]L\d{{1,3}}(_R[12].*|)$', '\1')"
@@ -38,12 +39,14 @@ def project_items(v, customers=None):
 
 
 ITEMS = """
-SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'other' ELSE 'run' END AS type,
-       CASE WHEN o_orderpriority <> '5-LOW' THEN cast(o_orderkey AS string) END AS id,
-       CASE WHEN o_orderpriority <> '5-LOW' THEN 'run ' || cast(o_orderkey AS string) END AS name,
-       CASE WHEN o_orderpriority <> '5-LOW' THEN 'Customer#' || lpad(cast(o_custkey AS string), 9, '0') END AS experiment_name
-FROM orders WHERE o_orderstatus = 'P'
-UNION ALL SELECT 'project', cast(c_custkey AS string), c_name, NULL FROM customer WHERE c_acctbal > 0"""
+SELECT type, CASE WHEN type <> 'other' THEN id END AS id, CASE WHEN type <> 'other' THEN name END AS name,
+       CASE WHEN type = 'run' THEN experiment_name END AS experiment_name
+FROM (SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority <> '5-LOW' THEN 'run' ELSE 'other' END AS type,
+             cast(o_orderkey AS string) AS id, 'run ' || cast(o_orderkey AS string) AS name,
+             'Customer#' || lpad(cast(o_custkey AS string), 9, '0') AS experiment_name
+      FROM orders
+      UNION ALL
+      SELECT CASE WHEN c_acctbal > 0 THEN 'project' ELSE 'other' END, cast(c_custkey AS string), c_name, NULL FROM customer) items"""
 
 
 def all_items(v):
@@ -52,9 +55,7 @@ def all_items(v):
 
 @case("parse_search_items", ITEMS)
 def parse_search_items(v):
-    # Its SQL has the items of pending orders and positive balances only.
-    runs, projects = run_items(v, v.orders.filter("o_orderstatus = 'P'")), project_items(v, v.customer.filter("c_acctbal > 0"))
-    return source.parse_search_items(source.union_scopes(runs, projects)).drop("raw")
+    return all_items(v).drop("raw")
 
 
 @case("union_scopes", f"""

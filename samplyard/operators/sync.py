@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -71,6 +72,8 @@ def sample_changes(
     null or ''. An empty target is filled; a different target is replaced only in overwrite mode; a
     target is cleared only when nulls may overwrite too, and a clearing is not passed on.
     """
+    if allow_null and not overwrite:
+        warnings.warn("allow_null does nothing without overwrite: no field is cleared", stacklevel=2)
     paired, compared = sync_pairs(samples, source, schema, fields, identifier, **matching)
     changes = {}
     for name in compared:

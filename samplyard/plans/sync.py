@@ -124,8 +124,11 @@ def sync_all(
     """Everything a sync run writes: ``samples``, ``destination`` and ``results``.
 
     The changes feed all three, so they are pinned with a checkpoint unless ``stage`` is off; they are
-    unfolded to one row per field only for the report under ``changes``.
+    unfolded to one row per field only for the report under ``changes``. A destination that is the source
+    itself is refused: its values would come back to it.
     """
+    if source is destination or source.sameSemantics(destination):
+        raise ValueError("source and destination are the same table")
     changes = changes_for_configs(samples, source, configs, schema, source_key, as_of=as_of, **options)
     if stage:
         checkpoint_root(samples.sparkSession)

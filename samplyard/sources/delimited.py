@@ -70,8 +70,10 @@ def write_partitioned_sheet(df: DataFrame, path: str, by: Sequence[str], mode: s
     df.write.mode(mode).partitionBy(*by).options(**options).csv(path)
 
 
-def export_table(df: DataFrame, path: str, columns: Sequence[str] | None = None, **search) -> None:
-    """Search, pick columns, write tab-separated text."""
-    found = row_search(df, **search)
+def export_table(
+    df: DataFrame, path: str, columns: Sequence[str] | None = None, columns_searched: Sequence[str] | None = None, **search
+) -> None:
+    """Search, pick columns, write tab-separated text; ``columns`` are those written, by default all."""
+    found = row_search(df, columns=columns_searched, **search)
     picked = extract_columns(found, columns, df.columns[0]) if columns else found
     write_entity_table(picked.select(*cols(picked.columns)), path)
