@@ -33,14 +33,18 @@ def running_totals(
 
     ``order`` must be a total order. One plan serves groups of every size: rows are cut into ranges
     of (key, order), each range is numbered on its own, and the totals of the ranges, a handful of
-    rows per key, supply where each range starts. The ranges come from a sample, so they are pinned
-    as a table in the shared folder before they are used twice. Rows without a complete key drop out.
+    rows per key, supply where each range starts. The ranges come from a sample, so the rows are
+    pinned as a table in the shared folder before the sample looks at them, and the ranges before they
+    are used twice: both jobs run when the plan is built, and ``df`` is computed once. Rows without a
+    complete key drop out.
     """
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = work_path(spark, "ranges")
+    rows, staged = work_path(spark, "rows"), work_path(spark, "ranges")
+    df.write.parquet(rows)
     (
-        df.repartitionByRange(slices, *cols(keys), *cols(order))
+        spark.read.schema(df.schema).parquet(rows)
+        .repartitionByRange(slices, *cols(keys), *cols(order))
         .withColumn("__slice", F.spark_partition_id())
         .write.parquet(staged)
     )

@@ -231,10 +231,9 @@ def expected_size(files: DataFrame, group: Sequence[str]) -> DataFrame:
 
 def files_by_read(files: DataFrame) -> DataFrame:
     """Files with their read side; a name that fits both sides appears under both."""
-    sides = F.array_compact(
-        F.array(*[F.when(is_read(col("file_name"), side), F.lit(f"R{side}")) for side in (1, 2)])
-    )
-    return files.select("*", F.explode(sides).alias("read"))
+    sides = F.array(*[F.when(is_read(col("file_name"), side), F.lit(f"R{side}")) for side in (1, 2)])
+    # Filtered after the explode: a filter inside the array would not be compiled with the stage.
+    return files.select("*", F.explode(sides).alias("read")).filter(col("read").isNotNull())
 
 
 def read_file_lists(files: DataFrame, group: Sequence[str], tie_break: Sequence[str] = ("file_id",)) -> DataFrame:

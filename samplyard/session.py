@@ -22,6 +22,9 @@ def build_session(name: str = "samplyard", master: str | None = None, **conf) ->
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # The JVM interprets methods of more than 8000 bytes for good. Beyond that, expressions are
+        # compiled one by one, in methods of their own, instead of with the whole stage.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         # Recording a call site per column makes building wide plans slow.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
