@@ -24,6 +24,9 @@ from samplyard.llm.tables import pieces, staged
 from samplyard.llm.words import seeded
 
 BUCKETS = 1024
+#: Documents whose bucket counts are laid out at once, and text bytes whose words are looked up together.
+BLOCK = 512
+ENCODED_BYTES = 4 << 20
 DIMENSIONS = 3
 BITS = 10
 END = 1
@@ -148,17 +151,31 @@ def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def document_cells(ids: list[np.ndarray], bits: int = BITS) -> np.ndarray:
-    """The cell of each document: its damped, unit-length bucket counts, projected and cut."""
-    buckets = (seeded(1 << 16, 7) >> np.uint64(54)).astype(np.int64)
+@lru_cache(maxsize=1)
+def projection() -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of every token number, and the direction of every bucket."""
     signs = (seeded(BUCKETS * DIMENSIONS, 8) >> np.uint64(11)).astype(np.float64) / 2.0**53
     directions = (signs.reshape(BUCKETS, DIMENSIONS) - 0.5) * np.sqrt(12.0)
-    doc = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-    every = np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64)
-    counts = np.bincount(doc * BUCKETS + buckets[every & 0xFFFF], minlength=len(ids) * BUCKETS)
-    vectors = np.log1p(counts.reshape(len(ids), BUCKETS))
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    places = (np.clip(vectors @ directions, -3.999, 3.999) + 4.0) / 8.0
+    return (seeded(1 << 16, 7) >> np.uint64(54)).astype(np.int64), directions
+
+
+def document_cells(ids: list[np.ndarray], bits: int = BITS) -> np.ndarray:
+    """The cell of each document: its damped, unit-length bucket counts, projected and cut.
+
+    Counts of a block of documents are laid out in full, those that are not zero are projected.
+    """
+    buckets, directions = projection()
+    found = np.zeros((len(ids), DIMENSIONS))
+    for first in range(0, len(ids), BLOCK):
+        part = ids[first : first + BLOCK]
+        doc = np.repeat(np.arange(len(part)) * BUCKETS, [len(i) for i in part])
+        counts = np.bincount(doc + buckets[np.concatenate(part) & 0xFFFF])
+        at = np.flatnonzero(counts)
+        weights, own, bucket = np.log1p(counts[at]), at // BUCKETS, at % BUCKETS
+        size = np.sqrt(np.bincount(own, weights * weights, len(part)))
+        for d in range(DIMENSIONS):
+            found[first : first + BLOCK, d] = np.bincount(own, weights * directions[bucket, d], len(part)) / np.maximum(size, 1e-9)
+    places = (np.clip(found, -3.999, 3.999) + 4.0) / 8.0
     return (places * (1 << bits)).astype(np.int64)
 
 
@@ -168,7 +185,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         close = np.array([END], words.kind).tobytes()
-        for batch in pieces(batches):
+        for batch in pieces(batches, ENCODED_BYTES):
             found = [ids + close for ids in words.encode(batch.column("text").cast(pa.binary()).to_pylist())]
             cells = document_cells([np.frombuffer(f, words.kind) for f in found])
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "key": hilbert_keys(cells), "ids": found})

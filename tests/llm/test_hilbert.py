@@ -80,3 +80,18 @@ def test_empty_table_and_clashing_columns(nothing, documents, cases):
     assert hilbert.pack(nothing, PATH).count() == 0
     clash = documents.withColumns({c: F.lit("x") for c in ("key", "ids", "start", "offset")})
     check(cases, hilbert.pack(clash, PATH).collect(), 2048)
+
+
+def test_cells_are_those_of_the_full_matrix():
+    rng = np.random.default_rng(5)
+    ids = [rng.integers(0, 49_000, rng.integers(1, 400)).astype(np.uint16) for _ in range(1300)] + [np.zeros(1, np.uint16)]
+    buckets, directions = hilbert.projection()
+    counts = np.zeros((len(ids), hilbert.BUCKETS))
+    for row, own in zip(counts, ids):
+        np.add.at(row, buckets[own], 1)
+    vectors = np.log1p(counts)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    want = ((np.clip(vectors @ directions, -3.999, 3.999) + 4.0) / 8.0 * (1 << hilbert.BITS)).astype(np.int64)
+    got = hilbert.document_cells(ids)
+    assert np.abs(got - want).max() <= 1 and (got == want).mean() > 0.999
+    assert hilbert.document_cells([]).shape == (0, hilbert.DIMENSIONS)
