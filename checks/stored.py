@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from checks.cleaning import CLEAN_COLUMNS, CLEAN_SQL, INTAKE, KNOWN, known_samples
 from checks.configs import CONFIG
+from checks.lookups import LOOK_BACK
 from checks.registry import case
 from checks.updates import BATCH, MINE, NOW, READY, RECORDS, SAMPLES, SYNC, bulk_sql, records, sync_changes, written
 from checks.views import ORDERS_AS_OF
 from samplyard.functions.columns import col
 from samplyard.plans import ingest
 from samplyard.session import work_path
-from samplyard.sources import bucketed, store
+from samplyard.sources import bucketed, grouped, store
 from samplyard.streaming import ingest as stream_plan
 from samplyard.streaming import stages, windows
 
@@ -92,6 +93,20 @@ def bucketed_sync(v):
     return v.spark.table(name).select("id", "lab", "stage", "total", "updated_at")
 
 
+@case("incomplete_of_active", """
+SELECT id, config_id, workflow_id, workflow_state FROM samples
+WHERE coalesce(workflow_id, '') <> '' AND coalesce(workflow_state, '') NOT IN ('Succeeded', 'Failed', 'Aborted')
+  AND config_id IN (SELECT id FROM configs WHERE active)""", ("samples", "configs"))
+def incomplete_of_active(v):
+    """From a table stored by config group and day; the active configs choose the groups."""
+    path = work_path(v.spark, "grouped")
+    yearly = F.date_trunc("year", "created_at").cast("timestamp_ntz")
+    grouped.append_grouped(v.samples.withColumn("created_at", yearly), path, 16)
+    samples, groups = grouped.read_grouped(v.spark, path)
+    found = grouped.incomplete_of_active(samples, groups, v.configs, ORDERS_AS_OF, LOOK_BACK)
+    return found.select("id", "config_id", "workflow_id", "workflow_state")
+
+
 @case("insert_rows", """
 SELECT id, name, active FROM configs UNION ALL SELECT 'new-1', 'first', true UNION ALL SELECT 'new-2', NULL, NULL""", ("configs",))
 def insert_rows(v):
