@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samplyard.llm.tables import staged
+from samplyard.llm.tables import release, staged
+from samplyard.session import work_path
 
 
 def components(links: DataFrame) -> DataFrame:
     """``id, component`` (the least id reachable) of every id in ``links`` (``a, b``).
 
     Large and small stars in turn until no edge changes; each round has joins and aggregates by id
-    only and is written to the shared folder. No component is ever one task's work.
+    only and is written to the shared folder, in place of the round before it. No component is ever
+    one task's work.
     """
-    edges = staged(links.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
+    spark, folder, turn = links.sparkSession, work_path(links.sparkSession, "components"), 0
+    edges = staged(links.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "0", folder)
     before = None
     while True:
         # Large star: every larger neighbour of an id goes to the least id around it.
@@ -25,7 +28,9 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         joined = large.join(least, "v")
         small = joined.select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(least.select("v", F.col("m").alias("u")))
-        edges = staged(small.filter("v <> u").distinct(), "edges")
+        edges = staged(small.filter("v <> u").distinct(), f"{turn + 1}", folder)
+        release(spark, folder, f"{turn}")
+        turn += 1
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if now == before:
             break

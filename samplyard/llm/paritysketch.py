@@ -34,8 +34,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from samplyard.llm.components import components
-from samplyard.llm.tables import pieces, staged, text_buffer
+from samplyard.llm.tables import pieces, release, staged, text_buffer
 from samplyard.llm.words import mix, run_hashes, seeded, shingles, word_hashes
+from samplyard.session import work_path
 
 #: Words of a shingle, and the similarity that links, unless others are asked for.
 WORDS = 3
@@ -178,7 +179,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: in
     return both.mapInArrow(check, "a long, b long").distinct()
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
+def _open_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, folder: str, percent: int = PERCENT) -> DataFrame:
     """Pairs (``a, b``) across components that share a key and whose sketches are near.
 
     Groups whose members are all in one component are settled, and so are pairs with the group's
@@ -188,7 +189,7 @@ def _open_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, perc
     named = named.withColumn("component", F.coalesce("component", "doc_id"))
     main = named.filter("doc_id = rep").select("key", F.col("component").alias("main"))
     stray = F.col("component") != F.col("main")
-    joined = staged(named.join(main, "key").withColumn("stray", stray), "open-members")
+    joined = staged(named.join(main, "key").withColumn("stray", stray), "open-members", folder)
     groups = joined.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("stray").cast("long")).alias("strays"))
     # A group of two was compared as a star; one without strays is settled.
     groups = groups.filter("n > 2 AND strays > 0").select(
@@ -232,26 +233,35 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     one shingle. Null texts count as empty. Rows with one doc_id are one document, which has the
     links of each of them; a row without a doc_id takes part only through rows with the same set.
     """
-    rows = staged(profiles(docs, words, percent), "profiles")
-    whole = rows.filter("main").select("doc_id", "n_shingles", "d1", "d2")
-    reps = staged(whole.filter("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")), "reps")
+    spark, folder = docs.sparkSession, work_path(docs.sparkSession, "near-copies")
+    rows = staged(profiles(docs, words, percent), "profiles", folder)
+    whole = staged(rows.filter("main").select("doc_id", "n_shingles", "d1", "d2"), "whole", folder)
+    reps = staged(whole.filter("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep")), "reps", folder)
     single = reps.filter("rep IS NOT NULL").select(F.col("rep").alias("doc_id"))
     own = rows.filter("n_shingles > 0").join(single, "doc_id", "left_semi")
     keyed = own.select("doc_id", "band", F.explode("keys").alias("key"))
     # One exchange of the keys, which are by far the most rows; a group's rows are three numbers each.
     same = Window.partitionBy("key")
     shared = keyed.withColumns({"rep": F.min("doc_id").over(same), "last": F.max("doc_id").over(same)}).filter("rep < last")
-    members = staged(shared.drop("last").distinct(), "members")
+    members = staged(shared.drop("last").distinct(), "members", folder)
     sketches = rows.filter("n_shingles > 0").select("doc_id", "band", "n_shingles", "sketch")
     needed = members.select("doc_id").distinct()
-    sketches = staged(sketches.join(needed, "doc_id", "left_semi").distinct(), "sketches")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = staged(texts.join(needed, "doc_id", "left_semi"), "near-texts")
+    sketches = staged(sketches.join(needed, "doc_id", "left_semi").distinct(), "sketches", folder)
+    release(spark, folder, "profiles")
     stars = members.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), "band").distinct()
-    links = staged(verified(near_sketches(stars, sketches, percent), texts, words, percent), "links")
-    labels = components(links)
-    rest = verified(_open_pairs(members, labels, sketches, percent), texts, words, percent)
+    # Candidates are written before they meet the texts: only texts of candidates are shuffled.
+    near = staged(near_sketches(stars, sketches, percent), "near-stars", folder)
+    links = staged(verified(near, _texts_of(docs, near), words, percent), "links", folder)
+    open_pairs = staged(_open_pairs(members, components(links), sketches, folder, percent), "open-pairs", folder)
+    release(spark, folder, "open-members", "members", "sketches", "near-stars")
+    rest = verified(open_pairs, _texts_of(docs, open_pairs), words, percent)
     labels = components(links.unionByName(rest))
     classes = reps.join(labels, reps["rep"] == labels["id"], "left").select("d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("class"))
     placed = whole.join(classes, ["d1", "d2", "n_shingles"], "left")
     return placed.select("doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("component_id"))
+
+
+def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the documents in the pairs (``a, b``)."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id", "left_semi")

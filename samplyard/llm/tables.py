@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samplyard.session import work_path
+from samplyard.session import remove_folder, work_path
 
 #: Text bytes handled at once inside a task.
 PIECE_BYTES = 1 << 20
@@ -19,11 +19,30 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """The rows, written to the shared folder and read again: lineage ends here."""
-    path = work_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark's setting for dropping the shuffle files of a statement when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """The rows, written to the shared folder (or to ``folder`` in it) and read again: lineage ends here.
+
+    What the write shuffled is freed with it, as nothing reads those files again.
+    """
+    spark = df.sparkSession
+    path = f"{folder}/{label}" if folder else work_path(spark, label)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before) if before is not None else spark.conf.unset(FREE_SHUFFLES)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, folder: str, *labels: str) -> None:
+    """Delete tables staged in a folder, or all of it, once nothing that is still to run reads them."""
+    for path in [f"{folder}/{label}" for label in labels] or [folder]:
+        remove_folder(spark, path)
 
 
 def partitions(spark: SparkSession) -> int:
