@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import case
 from samplyard.functions.columns import col
-from samplyard.operators import filejobs, search, summary, tables, workflows
+from samplyard.operators import filejobs, search, summary, tables, terms, workflows
 from samplyard.session import work_path
 from samplyard.sources import delimited, entities
 
@@ -146,6 +146,27 @@ def row_search_random(v):
     return search.row_search(rows, ["ring", "eco"], max_rows=40, randomize=True, order=["p_partkey"])
 
 
+SYLLABLES = ["tion", "eau", "ing", "the", "oux", "ent", "ment", "ère", "ich", "und", "que", "con", "los", "and"]
+TERMS = [a + b for a in SYLLABLES for b in SYLLABLES] + ["the\\s+of", "^the.*ing\\.$", "(qu|ch)e[aeiou]{3}x?", "SRC[0-9]7"]
+EACH_TERM = "(SELECT unnest([" + ", ".join(f"'{term}'" for term in TERMS) + "]) AS term)"
+
+
+@case("search_terms", f"""
+SELECT term, doc_id FROM documents, {EACH_TERM}
+WHERE regexp_matches(lower(text), lower(term)) OR regexp_matches(lower(source), lower(term))""")
+def search_terms(v):
+    return terms.term_hits(v.documents, TERMS, ["text", "source"], ["doc_id"])
+
+
+@case("search_terms_limit", f"""
+SELECT DISTINCT doc_id, lang, source FROM (
+  SELECT d.*, row_number() OVER (PARTITION BY term ORDER BY n_chars, doc_id) AS place
+  FROM documents d, {EACH_TERM} WHERE regexp_matches(lower(text), lower(term)))
+WHERE place <= 3""")
+def search_terms_limit(v):
+    return search.row_search(v.documents, TERMS, ["text"], max_rows=3, order=["n_chars", "doc_id"]).select("doc_id", "lang", "source")
+
+
 @case("select_ids", "SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def select_ids(v):
     return search.select_ids(v.documents, v.labels, "doc_id").select("doc_id", "lang", "source")

@@ -4,28 +4,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samplyard.functions.columns import col, cols, hashable
 from samplyard.operators.joins import distinct_keys, keyed_join, with_keys
+from samplyard.operators.terms import first_of_each_term, matched_terms
 
 SEED = 42  # fixed value: the shuffle seed of a filtered search
 
 
-def term_matches(columns: Sequence[str], term: str, exact: bool = False) -> Column:
-    """Any column equals the term, or contains it as a case-insensitive regex; nulls never match."""
-    def hit(name: str) -> Column:
-        text = col(name).cast("string")
-        match = text == term if exact else F.lower(text).rlike(term.lower())
-        return F.coalesce(match, F.lit(False))
-
-    return reduce(or_, [hit(name) for name in columns], F.lit(False))
-
-
 def row_search(
     df: DataFrame,
     terms: Sequence[str] = (),
@@ -43,20 +32,26 @@ def row_search(
     kept. ``max_rows`` limits each term, in ``order`` or, randomised, in a seeded hash order.
     """
     searched = [n for n in (columns or df.columns) if n in df.columns]
-    tests = [term_matches(searched, term, exact) for term in terms]
-    tests = [~test for test in tests] if exclude else tests
-    if not tests:
+    if not terms:
         return _head(df, order, max_rows, randomize, seed)
+    terms = list(dict.fromkeys(terms))
+    matched = matched_terms(df, searched, terms, exact)
+    if exclude:
+        matched = F.array_except(F.sequence(F.lit(0), F.lit(len(terms) - 1)), matched)
     if max_rows is None:
-        return df.filter(reduce(or_, tests)).dropDuplicates()
-    parts = [_head(df.filter(test), order, max_rows, randomize, seed) for test in tests]
-    return reduce(DataFrame.unionByName, parts).dropDuplicates()
+        return df.filter(F.size(matched) > 0).dropDuplicates()
+    return first_of_each_term(df, matched, _order(df, order, randomize, seed), max_rows)
 
 
-def _head(df: DataFrame, order: Sequence[str] | None, max_rows: int | None, randomize: bool, seed: int) -> DataFrame:
+def _order(df: DataFrame, order: Sequence[str] | None, randomize: bool, seed: int) -> list[Column]:
     by = cols(order or hashable(df))
     if randomize:
         by = [F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in by])), *by]
+    return by
+
+
+def _head(df: DataFrame, order: Sequence[str] | None, max_rows: int | None, randomize: bool, seed: int) -> DataFrame:
+    by = _order(df, order, randomize, seed)
     if max_rows is not None:
         return df.orderBy(*by).limit(max_rows)
     return df.orderBy(*by) if randomize else df
