@@ -9,6 +9,7 @@ without such a stretch are always tried.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Sequence
@@ -88,6 +89,11 @@ def gram_finder(grams: Sequence[str]) -> str:
     return f"(?=[{heads}]){tree(set(grams)).replace('(?:', '(?=(', 1)})"
 
 
+def _constant(value: list, kind: str) -> Column:
+    """A nested constant as one expression: built from columns, many terms take seconds to plan."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
 def matched_terms(df: DataFrame, columns: Sequence[str], terms: Sequence[str], exact: bool = False) -> Column:
     """Positions in ``terms``, ascending, of the terms that any of the columns has; nulls have none.
 
@@ -99,17 +105,17 @@ def matched_terms(df: DataFrame, columns: Sequence[str], terms: Sequence[str], e
         return none
     texts = [col(n).cast("string") for n in names]
     if exact:
-        lists = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(term).alias("term")) for i, term in enumerate(terms)])
+        lists = _constant([{"i": i, "term": term} for i, term in enumerate(terms)], "array<struct<i int, term string>>")
         cells = F.array(*texts)
         hits = F.filter(lists, lambda t: F.coalesce(F.array_contains(cells, t["term"]), F.lit(False)))
         return F.transform(hits, lambda t: t["i"])
     patterns = [term.lower() for term in terms]
     grams = grams_of(patterns)
     parts = [max(literal_stretches(pattern), key=len, default="") for pattern in patterns]
-    lists = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(gram).cast("string").alias("gram"), F.lit(part).alias("part"), F.lit(pattern).alias("pattern"))
-        for i, (gram, pattern, part) in enumerate(zip(grams, patterns, parts))
-    ])
+    lists = _constant(
+        [{"i": i, "gram": gram, "part": part, "pattern": pattern} for i, (gram, part, pattern) in enumerate(zip(grams, parts, patterns))],
+        "array<struct<i int, gram string, part string, pattern string>>",
+    )
     known = [gram for gram in grams if gram]
 
     def hits(text: Column) -> Column:
@@ -139,7 +145,7 @@ def term_hits(df: DataFrame, terms: Sequence[str], columns: Sequence[str], key:
         return df.select(F.lit("").alias("term"), *cols(key)).limit(0)
     # The outer form: a plain explode puts a filter before itself that finds all terms once more.
     at = df.select(*cols(key), F.explode_outer(matched_terms(df, columns, terms, exact)).alias("_term")).filter("_term IS NOT NULL")
-    return at.select(F.element_at(F.array(*map(F.lit, terms)), F.col("_term") + 1).alias("term"), *cols(key))
+    return at.select(F.element_at(_constant(terms, "array<string>"), F.col("_term") + 1).alias("term"), *cols(key))
 
 
 def first_of_each_term(df: DataFrame, matched: Column, by: Sequence[Column], max_rows: int) -> DataFrame:
