@@ -15,10 +15,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 from samplyard.llm.tables import pieces, staged
 from samplyard.llm.words import seeded
@@ -30,8 +32,11 @@ ENCODED_BYTES = 4 << 20
 DIMENSIONS = 3
 BITS = 10
 END = 1
-LAST_LATIN = "ɏ"
-TAIL = b".,;:!?"
+#: Words of these letters are the same for the library whether it normalizes them or finds them lower-cased.
+LATIN = "^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
+TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Words of letters that go to the library in one string.
+TOGETHER = 200
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, hilbert_key long"
 )
@@ -40,13 +45,17 @@ PIECES = (
 class WordEncoder:
     """Token ids of texts from those of their words, which the library encodes once each.
 
-    Valid for tokenizers that drop white space and encode what stands between independently. Words
-    of Latin letters, and such a word before closing punctuation, are encoded many at a time and
-    told apart by the pieces that end a word; all others go through the library one by one.
+    Valid for tokenizers that drop white space and encode what stands between independently, letters
+    apart from punctuation, lower-cased and byte by byte. Words of Latin letters, and such a word before
+    closing punctuation, are lower-cased here, encoded many at a time without the library's normalizer
+    and told apart by the pieces that end a word; all others go through the whole library one by one.
     """
 
     def __init__(self, path: str, limit: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.ends = np.zeros(size, bool)
@@ -55,65 +64,62 @@ class WordEncoder:
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
 
-    def _library(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    def _library(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
     def _plain(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words of letters, many in one call."""
+        """Ids of words of lower-case letters, many in one string."""
+        parts = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
         out = []
-        for i in range(0, len(words), 2000):
-            part = words[i : i + 2000]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.int64)
+        for part, found in zip(parts, self.letters.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False)):
+            ids = np.array(found.ids, self.kind)
             last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(part) or (len(last) and last[-1] != len(ids)):
-                out += self._library([w.decode() for w in part])
+            if len(last) != len(part) or last[-1] != len(ids):
+                out += self._library(part)
                 continue
-            raw, step = ids.astype(self.kind).tobytes(), self.kind.itemsize
-            stops = (last * step).tolist()
+            raw = ids.tobytes()
+            stops = (last * self.kind.itemsize).tolist()
             out += [raw[a:b] for a, b in zip([0, *stops], stops)]
         return out
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are not known, which are known from then on."""
         if len(self.known) + len(words) > self.limit:
             self.known.clear()
-        plain, odd, split = set(), [], []
-        for word in words:
-            base = word.rstrip(TAIL)
-            text = base.decode()
-            if text.isascii():
-                base = base.lower()
-                good = text.isalpha()
-            else:
-                good = text.isalpha() and text.lower().isalpha() and max(text) <= LAST_LATIN
-            if not good:
-                odd.append(word)
-                continue
-            tail = word[len(base) :]
-            split.append((word, base, tail))
-            if base not in self.known:
-                plain.add(base)
-            if tail and tail not in self.known:
-                odd.append(tail)
-        plain, odd = sorted(plain), sorted(set(odd))
-        self.known.update(zip(plain, self._plain(plain)))
-        self.known.update(zip(odd, self._library([w.decode() for w in odd])))
-        for word, base, tail in split:
-            self.known[word] = self.known[base] + (self.known[tail] if tail else b"")
+        bases = pc.ascii_rtrim(pa.array(words, pa.binary()).cast(pa.string()), TAIL)
+        good = pc.match_substring_regex(bases, LATIN)
+        plain, odd = [], []
+        for word, g in zip(words, good.to_pylist()):
+            (plain if g else odd).append(word)
+        bases = bases.filter(good)
+        ends = [w[n:] for w, n in zip(plain, pc.binary_length(bases).to_pylist())]
+        bases = pc.utf8_lower(bases).cast(pa.binary()).dictionary_encode()
+        names, tails = bases.dictionary.to_pylist(), sorted({t for t in ends if t})
+        new = [n for n in names if n not in self.known]
+        self.known.update(zip(new, self._plain(new)))
+        of_tail = dict(zip(tails, self._library(tails))) | {b"": b""}
+        of_base = pa.array([self.known[n] for n in names], pa.binary()).take(bases.indices).to_pylist()
+        self.known.update(zip(plain, [b + of_tail[t] if t else b for b, t in zip(of_base, ends)]))
+        self.known.update(zip(odd, self._library(odd)))
+        return [self.known[w] for w in words]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        words = set().union(*split)
-        known = self.known
-        # A set less the view of a dict would walk the whole dict.
-        missing = {w for w in words if w not in known}
-        if missing:
-            before = len(self.known)
-            self.learn(missing)
-            if len(self.known) < before:  # started anew
-                self.learn(words - self.known.keys())
-        get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        words = split.flatten().cast(pa.binary()).dictionary_encode()
+        if not len(words):
+            return [b""] * len(texts)
+        # White space at an end of a text leaves an empty word, which has no ids.
+        each = words.dictionary.to_pylist()
+        found = [self.known.get(w) for w in each]
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(missing, self.learn([each[i] for i in missing])):
+            found[i] = ids
+        # One buffer holds the ids of all words in order; those of a text are a stretch of it.
+        ids = pa.array(found, pa.large_binary()).take(words.indices)
+        ends, raw = np.frombuffer(ids.buffers()[1], np.int64), ids.buffers()[2]
+        stops, raw = ends[split.offsets.to_numpy()].tolist(), raw.to_pybytes() if raw else b""
+        return [raw[a:b] for a, b in zip(stops, stops[1:])]
 
 
 @lru_cache(maxsize=2)

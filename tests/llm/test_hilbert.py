@@ -25,6 +25,27 @@ def test_word_encoder_equals_the_library():
         assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_every_letter_and_closing_punctuation_equals_the_library():
+    library, own = Tokenizer.from_file(PATH), hilbert.WordEncoder(PATH)
+    texts = [f"{form}{end}" for c in map(chr, range(0x21, 0x250)) for form in (c, f"a{c}b", f"T{c}") for end in ("", "&&&", ",!!")]
+    texts += [f"Wörd{a}{b}" for a in hilbert.TAIL for b in hilbert.TAIL] + ["", " ", "\n a  b\t", "a" * 70_000]
+    for text, ids in zip(texts, own.encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, own.kind).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert own.encode([]) == [] and own.encode([b""]) == [b""]
+
+
+def test_words_of_letters_go_to_the_library_together_and_once(monkeypatch):
+    alone, together = [], []
+    library, plain = hilbert.WordEncoder._library, hilbert.WordEncoder._plain
+    monkeypatch.setattr(hilbert.WordEncoder, "_library", lambda self, words: (alone.extend(words), library(self, words))[1])
+    monkeypatch.setattr(hilbert.WordEncoder, "_plain", lambda self, words: (together.extend(words), plain(self, words))[1])
+    own = hilbert.WordEncoder(PATH)
+    for _ in range(2):
+        own.encode(["Ción&&& CIÓN!! ción aiaux$$$ Aiaux, x1".encode()])
+    assert sorted(together) == [b"aiaux", "ción".encode()]
+    assert sorted(str(w) for w in alone if w not in ("x1", b"x1")) == sorted(str(t) for t in (b"&&&", b"!!", b"$$$", b","))
+
+
 def test_curve_visits_every_cell_and_neighbours_touch():
     for dims, bits in ((2, 3), (3, 2)):
         side = 1 << bits
