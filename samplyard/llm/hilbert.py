@@ -51,10 +51,9 @@ class WordEncoder:
     and told apart by the pieces that end a word; all others go through the whole library one by one.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = Tokenizer.from_file(path)
-        self.letters.normalizer = None
+        self.letters = Tokenizer(self.tokenizer.model)  # the same model, not another copy of it
         self.letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
