@@ -9,6 +9,7 @@ sequence is full. The rest of a task's stream is cut into powers of two, which n
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
-from samplyard.llm.tables import pieces, staged
+from samplyard.llm.tables import pieces, staged, text_buffer
 from samplyard.llm.words import seeded
 
 BUCKETS = 1024
@@ -43,15 +44,18 @@ PIECES = (
 
 
 class WordEncoder:
-    """Token ids of texts from those of their words, which the library encodes once each.
+    """Token ids of texts from those of their words, which the library encodes once in each call.
 
     Valid for tokenizers that drop white space and encode what stands between independently, letters
     apart from punctuation, lower-cased and byte by byte. Words of Latin letters, and such a word before
     closing punctuation, are lower-cased here, encoded many at a time without the library's normalizer
     and told apart by the pieces that end a word; all others go through the whole library one by one.
+
+    Words and ids stay in Arrow columns: an object for each took most of the time and of the memory.
+    Ids of words are kept for later calls, all of them up to ``limit``, then those of the call before.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 300_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = Tokenizer(self.tokenizer.model)  # the same model, not another copy of it
         self.letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -61,61 +65,74 @@ class WordEncoder:
         for piece, i in self.tokenizer.get_vocab().items():
             self.ends[i] = piece.endswith("</w>")
         self.limit = limit
-        self.known: dict[bytes, bytes] = {}
+        self.known, self.known_ids = pa.array([""]), pa.array([b""], pa.large_binary())
 
     def _library(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _plain(self, words: list[bytes]) -> list[bytes]:
+    def _plain(self, words: list[bytes]) -> pa.Array:
         """Ids of words of lower-case letters, many in one string."""
-        parts = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        out = []
-        for part, found in zip(parts, self.letters.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False)):
+        out = [pa.array([], pa.large_binary())]
+        for part in (words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)):
+            # What the library makes of many parts would take much more memory than their ids.
+            (found,) = self.letters.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
             ids = np.array(found.ids, self.kind)
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) != len(part) or last[-1] != len(ids):
-                out += self._library(part)
+                out.append(pa.array(self._library(part), pa.large_binary()))
                 continue
-            raw = ids.tobytes()
-            stops = (last * self.kind.itemsize).tolist()
-            out += [raw[a:b] for a, b in zip([0, *stops], stops)]
-        return out
-
-    def learn(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words that are not known, which are known from then on."""
-        if len(self.known) + len(words) > self.limit:
-            self.known.clear()
-        bases = pc.ascii_rtrim(pa.array(words, pa.binary()).cast(pa.string()), TAIL)
-        good = pc.match_substring_regex(bases, LATIN)
-        plain, odd = [], []
-        for word, g in zip(words, good.to_pylist()):
-            (plain if g else odd).append(word)
-        bases = bases.filter(good)
-        ends = [w[n:] for w, n in zip(plain, pc.binary_length(bases).to_pylist())]
-        bases = pc.utf8_lower(bases).cast(pa.binary()).dictionary_encode()
-        names, tails = bases.dictionary.to_pylist(), sorted({t for t in ends if t})
-        new = [n for n in names if n not in self.known]
-        self.known.update(zip(new, self._plain(new)))
-        of_tail = dict(zip(tails, self._library(tails))) | {b"": b""}
-        of_base = pa.array([self.known[n] for n in names], pa.binary()).take(bases.indices).to_pylist()
-        self.known.update(zip(plain, [b + of_tail[t] if t else b for b, t in zip(of_base, ends)]))
-        self.known.update(zip(odd, self._library(odd)))
-        return [self.known[w] for w in words]
+            stops = np.concatenate([[0], last]) * self.kind.itemsize
+            out.append(pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(stops), pa.py_buffer(ids.tobytes())]))
+        return pa.concat_arrays(out)
+
+    def learn(self, words: pa.Array, letters: int) -> pa.Array:
+        """Ids of distinct words, the first ``letters`` of which are of lower-case letters."""
+        place = pc.index_in(words, self.known)
+        new = place.is_null()
+        first, other = (w.filter(n).cast(pa.binary()).to_pylist() for w, n in zip((words[:letters], words[letters:]), (new[:letters], new[letters:])))
+        ids = pa.concat_arrays([self.known_ids, self._plain(first), pa.array(self._library(other), pa.large_binary())])
+        fits = len(ids) <= self.limit
+        if fits:
+            self.known, self.known_ids = pa.concat_arrays([self.known, words.filter(new)]), ids
+        new = new.to_numpy(zero_copy_only=False)
+        ids = ids.take(pa.array(np.where(new, len(ids) - new.sum() - 1 + np.cumsum(new), place.fill_null(0))))
+        if not fits:
+            self.known, self.known_ids = words[: self.limit], ids[: self.limit]
+        return ids
+
+    def distinct(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words."""
+        bases = pc.ascii_rtrim(words, TAIL)
+        longer = pc.subtract(pc.binary_length(words), pc.binary_length(bases)).to_numpy()
+        plain = pc.match_substring_regex(bases, LATIN).to_numpy(zero_copy_only=False) & (longer <= 8)
+        letters = pc.utf8_lower(bases.filter(pa.array(plain))).dictionary_encode()
+        # The bytes of a tail make one number; none of them is zero.
+        data, ends = text_buffer(words)
+        tails, longer = np.zeros(len(words), np.uint64), np.where(plain, longer, 0)
+        for i in range(longer.max()):
+            has = np.flatnonzero(longer > i)
+            tails[has] |= data[ends[has + 1] - 1 - i].astype(np.uint64) << np.uint64(8 * i)
+        tails, tail = np.unique(tails, return_inverse=True)
+        tails = pa.array([int(t).to_bytes(8, "big").lstrip(b"\0") for t in tails], pa.binary()).cast(pa.string())
+        alone = pa.concat_arrays([words.filter(pa.array(~plain)), tails])
+        # A word alone may be a tail of others.
+        alone = alone.dictionary_encode()
+        place = alone.indices.to_numpy() + len(letters.dictionary)
+        base = np.empty(len(words), np.int64)
+        base[plain], base[~plain] = letters.indices.to_numpy(), place[: len(place) - len(tails)]
+        ids = self.learn(pa.concat_arrays([letters.dictionary, alone.dictionary]), len(letters.dictionary))
+        ends = ids.take(pa.array(place[len(place) - len(tails) :][tail]))
+        return pc.binary_join_element_wise(ids.take(pa.array(base)), ends, pa.scalar(b"", pa.large_binary()))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
-        words = split.flatten().cast(pa.binary()).dictionary_encode()
+        words = split.flatten().dictionary_encode()
         if not len(words):
             return [b""] * len(texts)
         # White space at an end of a text leaves an empty word, which has no ids.
-        each = words.dictionary.to_pylist()
-        found = [self.known.get(w) for w in each]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(missing, self.learn([each[i] for i in missing])):
-            found[i] = ids
         # One buffer holds the ids of all words in order; those of a text are a stretch of it.
-        ids = pa.array(found, pa.large_binary()).take(words.indices)
+        ids = self.distinct(words.dictionary).take(words.indices)
         ends, raw = np.frombuffer(ids.buffers()[1], np.int64), ids.buffers()[2]
         stops, raw = ends[split.offsets.to_numpy()].tolist(), raw.to_pybytes() if raw else b""
         return [raw[a:b] for a, b in zip(stops, stops[1:])]
@@ -188,6 +205,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, key, ids``: Hilbert key and packed token ids (with the closing one) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         words = encoder(path)
         close = np.array([END], words.kind).tobytes()
         for batch in pieces(batches, ENCODED_BYTES):

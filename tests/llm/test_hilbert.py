@@ -46,6 +46,19 @@ def test_words_of_letters_go_to_the_library_together_and_once(monkeypatch):
     assert sorted(str(w) for w in alone if w not in ("x1", b"x1")) == sorted(str(t) for t in (b"&&&", b"!!", b"$$$", b","))
 
 
+def test_common_words_are_still_known_when_too_many_others_came(monkeypatch):
+    together, plain = [], hilbert.WordEncoder._plain
+    monkeypatch.setattr(hilbert.WordEncoder, "_plain", lambda self, words: (together.extend(words), plain(self, words))[1])
+    library, own = Tokenizer.from_file(PATH), hilbert.WordEncoder(PATH, limit=40)
+    letters = "abcdefghij"
+    for i in range(9):
+        texts = ["the common, Words!", " ".join(f"q{letters[i]}{a}{letters[j]}" for a in letters[:2] for j in range(10))]
+        for text, ids in zip(texts, own.encode([t.encode() for t in texts])):
+            assert np.frombuffer(ids, own.kind).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+        assert len(own.known) <= 40
+    assert [together.count(w) for w in (b"the", b"common", b"words")] == [1, 1, 1]
+
+
 def test_curve_visits_every_cell_and_neighbours_touch():
     for dims, bits in ((2, 3), (3, 2)):
         side = 1 << bits
