@@ -171,6 +171,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: in
                     for x, y in zip(_shingle_sets(part, words, "ta"), _shingle_sets(part, words, "tb"))
                 ]
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(hits, pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     def side(name):
         return texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"t{name}"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samplyard.llm.tables import pieces, staged, text_buffer, texts_of
+from samplyard.llm.tables import BATCH, BATCH_BYTES, pieces, settings, staged, text_buffer, texts_of
 from samplyard.llm.words import mix, seeded, word_hashes
 
 SLOT_BITS = 14
@@ -81,7 +81,8 @@ def context_sums(docs: DataFrame) -> np.ndarray:
 
     parts = docs.select("text").mapInArrow(add, "block long, sums binary")
     # SLOTS * SIZE numbers: a proven bound.
-    rows = parts.groupBy("block").applyInPandas(merged, parts.schema).toArrow()
+    with settings(docs.sparkSession, {BATCH: f"{BATCH_BYTES}b"}):
+        rows = parts.groupBy("block").applyInPandas(merged, parts.schema).toArrow()
     total = np.zeros((SLOTS, SIZE), np.float32)
     for block, sums in zip(rows.column("block").to_pylist(), rows.column("sums").to_pylist()):
         total[block : block + BLOCK] = np.frombuffer(sums, "<i8").reshape(BLOCK, SIZE)
@@ -193,7 +194,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
                 {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "x": [r.astype("<f4").tobytes() for r in rows]}
             )
 
-    table = rows.withColumn("label", F.col("label").cast("long")).mapInArrow(pool, "doc_id long, label long, x binary").toArrow()
+    with settings(docs.sparkSession, {BATCH: f"{BATCH_BYTES}b"}):
+        table = rows.withColumn("label", F.col("label").cast("long")).mapInArrow(pool, "doc_id long, label long, x binary").toArrow()
     ids = np.array(table.column("doc_id").to_pylist(), np.int64)
     y = np.array(table.column("label").to_pylist(), np.float64)
     x = np.array([np.frombuffer(b, "<f4") for b in table.column("x").to_pylist()], np.float64).reshape(len(y), SIZE + SHAPES)

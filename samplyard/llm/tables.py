@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,25 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Spark's setting for the bytes of an Arrow batch, and how many a task's Python gets at once. Batches are
+#: held twice, by the JVM outside its heap and by Python, so those of 10,000 whole texts take much memory.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings for the statements inside; afterwards they are as before."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
 def staged(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """The rows, written to the shared folder (or to ``folder`` in it) and read again: lineage ends here.
 
@@ -30,12 +50,8 @@ def staged(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{folder}/{label}" if folder else work_path(spark, label)
-    before = spark.conf.get(FREE_SHUFFLES, None)
-    spark.conf.set(FREE_SHUFFLES, "true")
-    try:
+    with settings(spark, {FREE_SHUFFLES: "true", BATCH: f"{BATCH_BYTES}b"}):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(FREE_SHUFFLES, before) if before is not None else spark.conf.unset(FREE_SHUFFLES)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -68,7 +84,10 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that the ``text`` of each takes about ``limit`` bytes, one row at least."""
+    """Batches cut so that the ``text`` of each takes about ``limit`` bytes, one row at least.
+
+    At the end, memory that Arrow holds without use goes back: workers stay for later tasks.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -79,3 +98,4 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES) -> Itera
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
