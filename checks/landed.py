@@ -12,7 +12,7 @@ from checks.views import ORDERS_AS_OF
 from samplyard.functions.columns import col
 from samplyard.operators import lookup
 from samplyard.session import work_path
-from samplyard.sources import catalog, delimited, pages, screening
+from samplyard.sources import catalog, delimited, pages, screening, wholefiles
 
 PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_size"]
 # Every tenth part has a line that lacks a cell, one with a cell too many, and one without an id.
@@ -69,7 +69,7 @@ def screened_configs(v):
     """A file per config; those refused are told by their file."""
     source = work_path(v.spark, "configs")
     documents = v.customer.select(col("c_custkey").cast("string").alias("file"), F.expr(DOCUMENT).alias("value"))
-    documents.repartition(8).write.partitionBy("file").option("lineSep", "\n").text(source)
+    wholefiles.write_files(documents.repartition(8), source, "file", "value")
     read = screening.load_documents(v.spark, source, work_path(v.spark, "screened"), CONFIG, "*.txt")
     file = F.regexp_extract(screening.FILE, r"file=(\d+)", 1).alias("file")
     target = F.get_json_object("method_config", "$.entityType").alias("target")

@@ -68,6 +68,12 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
 
 
+def glob_paths(spark: SparkSession, path: str) -> list[str]:
+    """The full addresses of what the path, or pattern, stands for; none where nothing is there."""
+    files, place = _hadoop(spark, path)
+    return [s.getPath().toString() for s in files.globStatus(place) or []]
+
+
 def is_written(spark: SparkSession, path: str) -> bool:
     """Whether a job has written the folder to the end."""
     files, place = _hadoop(spark, f"{path.rstrip('/')}/_SUCCESS")

@@ -19,6 +19,7 @@ from samplyard.functions.columns import col, cols, is_blank
 from samplyard.schema import SchemaSpec
 from samplyard.sources.configs import DOCUMENT, documents_to_configs
 from samplyard.sources.delimited import _text_options, na_to_null
+from samplyard.sources.wholefiles import whole_files
 
 FILE, TEXT, REASON, REFUSED = "source_file", "refused_text", "refused_reason", "refused"
 TOO_FEW, TOO_MANY, NO_ID = "too few cells", "too many cells", "no id"
@@ -69,9 +70,8 @@ def read_screened_documents(spark: SparkSession, path: str, schema: SchemaSpec,
     Refused are files that are empty, not JSON or no object, and objects without a field the schema
     requires (the first one is named). A field of the wrong type is null, as in a table.
     """
-    files = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
     value = F.col("value")
-    whole = files.select(F.col("_metadata.file_path").alias(FILE), value)
+    whole = whole_files(spark, path, pattern, FILE)
     is_object = F.json_object_keys(value).isNotNull()
     broken = (
         F.when(F.regexp_like(value, F.lit(r"^\s*$")), EMPTY)
