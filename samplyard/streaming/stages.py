@@ -5,6 +5,9 @@ stage; whatever order events arrive in, and however often, it ends the same. A s
 last stage is closed when the watermark has passed its grace, one without news for long is stalled;
 either way its state is freed, so the store holds live samples only.
 
+Samples are kept in buckets, one state and one timer each, so that a call into Python and the state store
+serves many samples.
+
 Every change is written once, as a row that holds all that is known. :func:`current_stages` adds such rows up:
 a sample that shows up again after its state was freed continues where it was.
 """
@@ -15,7 +18,9 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -28,6 +33,10 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 24 * 3600 * 1000
 OPEN, CLOSED, STALLED = "open", "closed", "stalled"
+#: Samples are kept together by a hash of their id. A checkpoint goes with this number.
+BUCKETS = 4096
+#: Stands for a time that is not known.
+MISSING = np.iinfo(np.int64).max
 
 
 @dataclass(frozen=True)
@@ -72,73 +81,112 @@ def stage_events(samples: DataFrame, times: Mapping[str, str | Column], outcome:
     return rows.filter("at IS NOT NULL")
 
 
-class LifeCycle(StatefulProcessor):
-    """State of one sample: micros of each stage, outcome, newest event and the timer that is set."""
+@dataclass(frozen=True)
+class Known:
+    """What is known of samples: a column each; ``times`` has a row for each stage, ``MISSING`` where there is none."""
+
+    ids: pa.Array
+    times: np.ndarray
+    outcome: np.ndarray
+    newest: np.ndarray
+
+    def of(self, chosen: np.ndarray) -> Known:
+        return Known(self.ids.filter(pa.array(chosen)), self.times[:, chosen], self.outcome[chosen], self.newest[chosen])
+
+
+class LifeCycles(StatefulProcessor):
+    """State of the samples of one bucket, in columns: micros of each stage, outcome and newest event of each, and
+    the one timer that is set, for the first sample that is due.
+
+    What a call costs is shared by the samples of the bucket.
+    """
 
     def __init__(self, cycle: Cycle):
         self.cycle = cycle
 
     def init(self, handle) -> None:
-        fields = [*[f"{t} long" for t in self.cycle.times], "outcome string", "newest long", "timer long"]
         self.handle = handle
-        self.state = handle.getValueState("life", ", ".join(fields))
+        self.state = handle.getValueState("lives", "samples binary, timer long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        stages = self.cycle.stages
-        n = len(stages)
-        held = self.state.get()
-        known = list(held) if held is not None else [None] * (n + 3)
-        before = known[: n + 1]
-        for frame in rows:
-            for stage, micros, outcome in zip(frame["stage"], frame["micros"], frame["outcome"]):
-                micros = int(micros)
-                known[n + 1] = micros if known[n + 1] is None else max(known[n + 1], micros)
-                if stage not in stages:
-                    continue
-                at = stages.index(stage)
-                text = None if outcome is None or pd.isna(outcome) else outcome
-                if at == n - 1 and text is not None:
-                    # The first end counts; of ends at the same moment, the lesser text.
-                    earlier = known[at] is None or known[n] is None or (micros, text) < (known[at], known[n])
-                    known[n] = text if earlier else known[n]
-                known[at] = micros if known[at] is None else min(known[at], micros)
-        self._set_timer(known)
-        self.state.update(tuple(known))
-        if known[: n + 1] != before:
-            yield self._row(key, known, OPEN)
+        news = pd.concat(rows, ignore_index=True)
+        held, timer = self._held()
+        n, last = len(held.ids), len(self.cycle.stages) - 1
+        names = pa.concat_arrays([held.ids, pa.array(news["id"], pa.string(), from_pandas=True)])
+        coded = names.dictionary_encode("encode")  # the held ones come first, in their order
+        more = len(coded.dictionary) - n
+        sample = coded.indices.to_numpy()[n:]
+        place = {s: i for i, s in enumerate(self.cycle.stages)}
+        stage = news["stage"].map(place).fillna(-1).to_numpy(np.int64)
+        micros = news["micros"].to_numpy(np.int64)
+
+        known = Known(
+            coded.dictionary,
+            np.concatenate([held.times, np.full((last + 1, more), MISSING)], axis=1),
+            np.concatenate([held.outcome, np.full(more, None)]),
+            np.concatenate([held.newest, np.full(more, -MISSING)]),
+        )
+        before = known.times.copy(), known.outcome.copy()
+        np.maximum.at(known.newest, sample, micros)
+        ended = np.flatnonzero((stage == last) & news["outcome"].notna().to_numpy())
+        # The first end counts; of ends at the same moment, the lesser text.
+        for of, at, text in sorted(zip(sample[ended].tolist(), micros[ended].tolist(), news["outcome"].to_numpy()[ended])):
+            end, there = known.times[last, of], known.outcome[of]
+            if end == MISSING or there is None or (at, text) < (end, there):
+                known.outcome[of] = text
+            known.times[last, of] = min(end, at)
+        np.minimum.at(known.times, (stage[stage >= 0], sample[stage >= 0]), micros[stage >= 0])
+        self._keep(known, timer)
+        changed = (known.times != before[0]).any(axis=0) | (known.outcome != before[1])
+        if changed.any():
+            yield self._rows(known.of(changed), OPEN)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = list(self.state.get())
-        due, now = self._due(known), expiredTimerInfo.getExpiryTimeInMs()
-        if due > now:  # there has been news since the timer was set
-            self.handle.registerTimer(due)
-            known[-1] = due
-            self.state.update(tuple(known))
-            return
-        self.state.clear()
-        yield self._row(key, known, CLOSED if known[len(self.cycle.stages) - 1] is not None else STALLED)
+        known, _ = self._held()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        over = self._due(known) <= now  # there may have been news since the timer was set
+        self._keep(known.of(~over), None)
+        ended = known.times[-1] != MISSING
+        for status, which in ((CLOSED, over & ended), (STALLED, over & ~ended)):
+            if which.any():
+                yield self._rows(known.of(which), status)
 
     def close(self) -> None:
         pass
 
-    def _due(self, known: list) -> int:
-        end = known[len(self.cycle.stages) - 1]
-        return known[len(self.cycle.stages) + 1] // 1000 + self.cycle.idle_ms if end is None else end // 1000 + self.cycle.grace_ms
+    def _due(self, known: Known) -> np.ndarray:
+        end = known.times[-1]
+        return np.where(end == MISSING, known.newest // 1000 + self.cycle.idle_ms, end // 1000 + self.cycle.grace_ms)
 
-    def _set_timer(self, known: list) -> None:
-        """One timer a sample. A later moment waits until the set one fires, an earlier one replaces it."""
-        due = self._due(known)
-        if known[-1] is not None and known[-1] <= due:
+    def _held(self) -> tuple[Known, int | None]:
+        held = self.state.get()
+        if held is None:
+            return Known(pa.array([], pa.string()), np.zeros((len(self.cycle.stages), 0), np.int64), np.zeros(0, object), np.zeros(0, np.int64)), None
+        with pa.ipc.open_stream(held[0]) as stream:
+            ids, *times, outcome, newest = stream.read_next_batch().columns
+        return Known(ids, np.stack([t.to_numpy() for t in times]), outcome.to_numpy(zero_copy_only=False), newest.to_numpy()), held[1]
+
+    def _keep(self, known: Known, timer: int | None) -> None:
+        """One timer a bucket. A later moment waits until the set one fires, an earlier one replaces it."""
+        if not len(known.ids):
+            self.state.clear()
             return
-        if known[-1] is not None:
-            self.handle.deleteTimer(known[-1])
-        self.handle.registerTimer(due)
-        known[-1] = due
+        due = int(self._due(known).min())
+        if timer is None or timer > due:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+            timer = due
+        columns = [known.ids, *[pa.array(t) for t in known.times], pa.array(known.outcome, pa.string()), pa.array(known.newest)]
+        batch = pa.RecordBatch.from_arrays(columns, ["id", *self.cycle.times, "outcome", "newest"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_batch(batch)
+        self.state.update((sink.getvalue().to_pybytes(), timer))
 
-    def _row(self, key, known: list, status: str) -> pd.DataFrame:
-        n = len(self.cycle.stages)
-        columns = {t: pd.array([known[i]], dtype="Int64") for i, t in enumerate(self.cycle.times)}
-        return pd.DataFrame({"id": [key[0]], **columns, "outcome": [known[n]], "status": [status]})
+    def _rows(self, known: Known, status: str) -> pd.DataFrame:
+        columns = {t: pd.arrays.IntegerArray(v, v == MISSING) for t, v in zip(self.cycle.times, known.times)}
+        return pd.DataFrame({"id": known.ids.to_numpy(zero_copy_only=False), **columns, "outcome": known.outcome, "status": status})
 
 
 def track_stages(events: DataFrame, late: str, cycle: Cycle = Cycle()) -> DataFrame:
@@ -149,9 +197,10 @@ def track_stages(events: DataFrame, late: str, cycle: Cycle = Cycle()) -> DataFr
     (:func:`~samplyard.streaming.windows.dropped_rows`), unknown stages only count as news. An end
     may have no outcome; the first end with one decides.
     """
-    stamped = events.withWatermark("at", late).withColumn("micros", F.unix_micros("at"))
-    tracked = stamped.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=LifeCycle(cycle), outputStructType=cycle.output, outputMode="Update", timeMode="EventTime"
+    bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).alias("bucket")
+    stamped = events.withWatermark("at", late).select(bucket, "id", "stage", "at", "outcome", F.unix_micros("at").alias("micros"))
+    tracked = stamped.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=LifeCycles(cycle), outputStructType=cycle.output, outputMode="Update", timeMode="EventTime"
     )
     times = [F.timestamp_micros(t).cast("timestamp_ntz").alias(t) for t in cycle.times]
     return tracked.select("id", *times, "outcome", "status")

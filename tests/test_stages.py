@@ -110,3 +110,22 @@ def test_the_session_is_left_as_it_was(spark):
     with stages.rocksdb_state(spark):
         assert spark.conf.get(stages.PROVIDER) == stages.ROCKSDB
     assert spark.conf.get(stages.PROVIDER, None) != stages.ROCKSDB
+
+
+def test_samples_of_a_bucket_share_a_call(spark, frame, tmp_path, monkeypatch):
+    """All samples in two buckets: states and timers are those of buckets, what they say is that of samples."""
+    monkeypatch.setattr(stages, "BUCKETS", 2)
+    cycle = Cycle(grace_ms=DAY_MS, idle_ms=4 * DAY_MS)
+    rng = random.Random(3)
+    events = [(f"s{i}", s, day(rng.random()), f"o{i % 3}" if s == "finished" else None) for i in range(200) for s in rng.sample(cycle.stages, 1 + i % 4)]
+    events += [(None, "created", day(0), None)]
+    rng.shuffle(events)
+    batches = [events[::2], events[1::2], [("s1", "tick", day(4), None)], [("s2", "tick", day(9), None)], [("s2", "tick", day(10), None)]]
+    changes, progress = run(spark, frame, tmp_path, batches, late="2 days", cycle=cycle)
+    assert progress[1][0] <= 4 and max(n for _, n in progress) == 0
+    named = [e for e in events if e[0] is not None]
+    assert table(stages.current_stages(changes, cycle).filter("id IS NOT NULL"), "id") == expected(named, cycle)
+    over = {r.id: r.status for r in changes.filter("status <> 'open'").collect()}
+    ended = {e[0] for e in named if e[1] == "finished"}
+    # s1 had news, s2 has them still; both wait longer than the others unless they ended.
+    assert all(over[i] == "closed" for i in ended - {"s2"}) and all(over[i] == "stalled" for i in {e[0] for e in events} - ended - {"s1", "s2"})
