@@ -10,6 +10,7 @@ from samplyard.operators import clean, joins, ordering, seqfiles
 from samplyard.operators.sync import field_changes
 from samplyard.plans.sync import apply_to_samples
 from samplyard.schema import SchemaSpec
+from samplyard.session import checkpoint_root, list_folders
 
 
 @pytest.fixture
@@ -93,6 +94,30 @@ def test_running_totals_split_the_hot_group(spark):
     assert plan.agg(F.max("position"), F.max("offset")).first() == (50_000, 49_999)
 
 
+@pytest.mark.parametrize("most", [1, 500, 1 << 20])
+def test_running_totals_in_rounds(spark, monkeypatch, most):
+    """What a round has staged goes once it is numbered, unless a group is too large for one task."""
+    monkeypatch.setattr(ordering, "rounds_of", lambda *frames: 3, raising=False)
+    monkeypatch.setattr(ordering, "HOT_ROWS", most, raising=False)
+    before = set(list_folders(spark, checkpoint_root(spark)))
+    rows = spark.range(3_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 > 0, (F.col("id") % 97).cast("string")).alias("g"),
+        F.xxhash64("id").cast("string").alias("name"), F.col("id").alias("size"), F.lit("x").alias("offset"),
+    )
+    found = ordering.running_totals(rows, ["g"], ["name"], "size", 8)
+    assert found.columns == ["g", "name", "size", "position", "offset"]
+    staged = [f for f in set(list_folders(spark, checkpoint_root(spark))) - before if f.startswith("rows-")]
+    kept = [n for f in staged for n in list_folders(spark, f"{checkpoint_root(spark)}/{f}")]
+    assert len(kept) == (0 if most > 3_000 else 3)
+    place, total, wanted = Counter(), Counter(), {}
+    for r in sorted(rows.filter("g IS NOT NULL").collect(), key=lambda r: (r["g"], r["name"])):
+        place[r["g"]] += 1
+        wanted[r["g"], r["name"]] = (place[r["g"]], total[r["g"]])
+        total[r["g"]] += r["size"]
+    got = {(r["g"], r["name"]): (r["position"], r["offset"]) for r in found.collect()}
+    assert got == wanted and found.count() == len(wanted)
+
+
 def test_sync_with_hot_identifiers(small_thresholds, spark):
     schema = SchemaSpec.from_dict({"fields": {"id": {"type": "string"}, "sid": {"type": "string", "sample_identifier": True}, "lab": {"type": "string", "sync_field": True}}})
     sid = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
