@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from checks.registry import case
 from samplyard.functions.columns import col
-from samplyard.operators import seqfiles
+from samplyard.operators import rounds, seqfiles
 from samplyard.plans import fetch
+from samplyard.session import work_path
 from samplyard.sources import datasets as source
 
 # How the two reads of a pair and the lane of a dataset are told by a name.
@@ -268,6 +269,18 @@ def concat_plan(v):
 
 # ---- fetching ------------------------------------------------------------------------------
 
+def owned_datasets(v):
+    """Datasets with the item that their order belongs to, joined in rounds and staged: their files have the same one."""
+    owner = v.orders.select(col("o_orderkey").cast("string").alias("order_key"), col("o_custkey").cast("string").alias("item_id"))
+    key = F.split_part("dataset_id", F.lit("-"), F.lit(1)).alias("order_key")
+    datasets, path = v.dataset_rows.select("*", key), work_path(v.spark, "owned")
+    n = rounds.rounds_of(datasets, owner, most=2)
+    for k in range(n):
+        mine = rounds.hash_class(["order_key"], n) == k
+        rounds.put(datasets.filter(mine).join(owner.filter(mine), "order_key"), path)
+    return v.spark.read.schema(datasets.join(owner, "order_key").schema).parquet(path)
+
+
 def fetch_inputs(v):
     """Every order asks its own sample in the collection of its customer; low ones ask twice."""
     asked = v.orders.select(
@@ -279,11 +292,8 @@ def fetch_inputs(v):
     items = v.customer.filter("c_acctbal > 0").select(
         F.lit("projects").alias("scope"), col("c_name").alias("name"), col("c_custkey").cast("string").alias("item_id")
     )
-    owner = v.orders.select(col("o_orderkey").cast("string").alias("order_key"), col("o_custkey").cast("string").alias("item_id"))
-    key = F.split_part("dataset_id", F.lit("-"), F.lit(1)).alias("order_key")
-    datasets = v.dataset_rows.select("*", key).join(owner, "order_key")
-    files = v.files.select("*", key).join(owner, "order_key")
-    return asked, items, datasets, files
+    datasets = owned_datasets(v)
+    return asked, items, datasets, v.files_of(datasets, "order_key", "item_id")
 
 
 @case("fetch_plan", f"""

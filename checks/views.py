@@ -192,16 +192,21 @@ class Views:
     @property
     def files(self) -> DataFrame:
         """R1 and R2 files of every dataset; some lack R2, some have an index file too."""
+        return self.files_of(self.view("datasets"))
+
+    def files_of(self, datasets: DataFrame, *keep: str) -> DataFrame:
+        """The files of the given rows of datasets, with the columns to keep."""
         size = F.when(F.col("quantity") > 2, F.col("bytes") + F.when(F.col("side") == "R1", 0).otherwise(1))
         there = F.expr("side = 'R1' OR (side = 'R2' AND quantity < 45) OR (side = 'I1' AND quantity < 3)")
         sides = F.explode(F.array(F.lit("R1"), F.lit("R2"), F.lit("I1")))
-        return self.view("datasets").withColumn("side", sides).filter(there).select(
+        return datasets.withColumn("side", sides).filter(there).select(
             "dataset_id",
             F.concat_ws("-", "dataset_id", "side").alias("file_id"),
             F.concat("name", F.lit("_"), "side", F.lit("_001.fastq.gz")).alias("file_name"),
             size.alias("size"),
             F.col("name").alias("dataset_name"),
             "is_paired_end",
+            *keep,
         )
 
     @property

@@ -11,7 +11,11 @@ from samplyard.functions.columns import col
 from samplyard.functions.names import trimmed
 from samplyard.operators import seqfiles
 from samplyard.operators.joins import keyed_join
+from samplyard.operators.rounds import hash_class, put, rounds_of
+from samplyard.session import work_path
 
+#: The most rounds of a plan.
+ROUNDS = 12
 COUNTS = ("files", "r1_files", "r2_files", "r1_bytes", "r2_bytes")
 
 
@@ -43,9 +47,44 @@ def fetch_plan(
 ) -> dict[str, DataFrame]:
     """``files`` to fetch per served sample, and one ``results`` row per request.
 
-    ``datasets`` and ``files`` carry the collection's ``item_id`` and the ``dataset_id``.
+    ``datasets`` and ``files`` carry the collection's ``item_id`` and the ``dataset_id``. Large inputs are
+    planned when this is called, in rounds of collections, so that only a part of them is shuffled at a time.
     """
+    choices = (types, group_by_lane, use_latest, validate_paired, validate_lanes)
     resolved = resolve_requests(requests, items, priority)
+    listed, results = _planned(resolved, datasets, files, *choices)
+    n = rounds_of(datasets, files, most=ROUNDS)
+    if n > 1:
+        spark = requests.sparkSession
+        asked, path = work_path(spark, "resolved"), work_path(spark, "planned")
+        put(resolved, asked)
+        resolved = spark.read.schema(resolved.schema).parquet(asked)
+        for k in range(n):
+            mine = hash_class(["item_id"], n) == k
+            put(_planned(resolved.filter(mine), datasets.filter(mine), files.filter(mine), *choices)[1], path)
+        listed = _planned(resolved, datasets, files, *choices)[0]
+        results = spark.read.schema(results.schema).parquet(path)
+    group = ["item_id", "sample"]
+    fetched = keyed_join(
+        listed,
+        results.filter(col("status") == "ok").select(*group),
+        group,
+        "left_semi",
+    )
+    return {"files": fetched, "results": results}
+
+
+def _planned(
+    resolved: DataFrame,
+    datasets: DataFrame,
+    files: DataFrame,
+    types: Sequence[str] | None,
+    group_by_lane: bool,
+    use_latest: bool,
+    validate_paired: bool,
+    validate_lanes: bool,
+) -> tuple[DataFrame, DataFrame]:
+    """Files of served datasets, and results."""
     good = resolved.filter(col("problem").isNull())
     matched = seqfiles.match_datasets(
         good.select("item_id", "sample"),
@@ -89,10 +128,4 @@ def fetch_plan(
     results = keyed_join(resolved, overview, group).select(
         "collection", "sample", "item_id", status.otherwise("ok").alias("status"), *[v.alias(n) for n, v in number.items()]
     )
-    fetched = keyed_join(
-        listed,
-        results.filter(col("status") == "ok").select(*group),
-        group,
-        "left_semi",
-    )
-    return {"files": fetched, "results": results}
+    return listed, results
